@@ -23,8 +23,9 @@ COMMON_WORDS = {
 CHARACTER_CLASSES = {"upper": r"A-Z", "digit": r"0-9", "point": r".,;:!?'\"()\-", "symbol": r"#*$%&|<>"}
 #: Texts with fewer words are not judged by distance.
 MIN_WORDS = 30
-MAX_CHARACTER_DISTANCE = 0.22
-MAX_WORD_DISTANCE = 0.45
+#: Allowed distance: the first figure plus the second over the root of the number of words (sampling noise).
+MAX_CHARACTER_DISTANCE = (0.14, 1.0)
+MAX_WORD_DISTANCE = (0.115, 1.2)
 MIN_RULE_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
@@ -109,6 +110,10 @@ def js_distance(counts: Column, reference: list[int]) -> Column:
     return F.when(mass > 0, F.sqrt(F.greatest(divergence, F.lit(0.0)))).otherwise(0.0)
 
 
+def allowed(n_words: Column, limit: tuple[float, float]) -> Column:
+    return limit[0] + limit[1] / F.sqrt(F.greatest(n_words, F.lit(1)))
+
+
 def ordered_windows(hashes: Column) -> Column:
     return F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
@@ -168,7 +173,10 @@ def measured(docs: DataFrame, found: dict[str, tuple[list[int], list[int]]]) ->
     )
     rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_RULE_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     rows = rows.withColumn(
-        "kept", ~F.col("base_failed") & (F.col("js_characters") <= MAX_CHARACTER_DISTANCE) & (F.col("js_words") <= MAX_WORD_DISTANCE)
+        "kept",
+        ~F.col("base_failed")
+        & (F.col("js_characters") <= allowed(F.col("n_words"), MAX_CHARACTER_DISTANCE))
+        & (F.col("js_words") <= allowed(F.col("n_words"), MAX_WORD_DISTANCE)),
     )
     return rows.drop(*[c for c in rows.columns if c.startswith("_") and c not in docs.columns])
 

@@ -8,16 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factview.llm import byte_bpe, quality_rules, sharding, token_counts
+from factview.llm import byte_bpe, ngram_join, quality_rules, sharding, token_counts
 from factview.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Rows of an Arrow batch: bounds a Python worker's memory on long texts.
 ARROW_ROWS = "1000"
+ARROW_BYTES = str(16 << 20)
 
 
 def _batched(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _batched(spark)
+    return ngram_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +53,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_ngram_join": op2_ngram_join,
         "op5_sharding": op5_sharding,
         "op6_token_counts": op6_token_counts,
         "op9_byte_bpe": op9_byte_bpe,
@@ -53,10 +61,32 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: The words of a text in DuckDB, given a text expression.
+WORDS_SQL = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_SQL = f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL.format(LOWER_SQL)} AS w FROM documents),
+    s AS (
+        SELECT doc_id, CASE
+            WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
+        FROM w
+    ),
+    e AS (SELECT doc_id, unnest(g) AS t FROM s),
+    n AS (SELECT doc_id, len(g) AS n FROM s),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM e a JOIN e b USING (t) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+    l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+    r AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+    SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.y) AS component_id FROM n JOIN r ON r.x = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     names = [f"shard-{k:05d}" for k in range(sharding.SHARDS)]
     owner = ", ".join(map(str, sharding.lookup_table(names)))
     return {
+        "op2_ngram_join": OP2_SQL,
         "op5_sharding": f"""
             WITH s AS (
                 SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {sharding.TABLE_SIZE} AS shard_slot
