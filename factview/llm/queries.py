@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factview.llm import byte_bpe, ngram_join, quality_rules, sharding, token_counts
+from factview.llm import byte_bpe, ngram_join, pii, quality_rules, secret_scan, sharding, token_counts
 from factview.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,14 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.place(docs, F.col("doc_id")).select("doc_id", "shard_slot", "shard")
@@ -54,6 +62,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_ngram_join": op2_ngram_join,
+        "op3_pii": op3_pii,
+        "op4_secret_scan": op4_secret_scan,
         "op5_sharding": op5_sharding,
         "op6_token_counts": op6_token_counts,
         "op9_byte_bpe": op9_byte_bpe,
