@@ -8,6 +8,7 @@ log-likelihood ratio favours the random model is a secret, too.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,19 +63,26 @@ def bigrams(tokens: DataFrame) -> dict[tuple[int, int], int]:
     return {(r["x"], r["y"]): r["n"] for r in rows.collect() if FIRST <= min(r["x"], r["y"]) and max(r["x"], r["y"]) < FIRST + SIZE}
 
 
-def ratios(random: dict[tuple[int, int], int], ordinary: dict[tuple[int, int], int], pseudo: float = 0.5) -> list[float]:
+def _model(counts: dict[tuple[int, int], int], alphabet: int, pseudo: float = 0.5, weight: float = 5.0) -> Callable[[int, int], float]:
+    """P(y | x), smoothed towards the frequency of y alone, as a function of the pair."""
+    after, single, total = {}, {}, sum(counts.values())
+    for (x, y), n in counts.items():
+        after[x] = after.get(x, 0) + n
+        single[y] = single.get(y, 0) + n
+
+    def chance(x: int, y: int) -> float:
+        alone = (single.get(y, 0) + pseudo) / (total + pseudo * alphabet)
+        return (counts.get((x, y), 0) + weight * alone) / (after.get(x, 0) + weight)
+
+    return chance
+
+
+def ratios(random: dict[tuple[int, int], int], ordinary: dict[tuple[int, int], int]) -> list[float]:
     """log P(y | x, random) - log P(y | x, ordinary) for each pair of characters, row by row."""
-    out = []
-    sums = [{}, {}]
-    for which, counts in enumerate((random, ordinary)):
-        for (x, _), n in counts.items():
-            sums[which][x] = sums[which].get(x, 0) + n
-    seen = sorted({c for pair in (*random, *ordinary) for c in pair}) or [FIRST]
-    for x in range(FIRST, FIRST + SIZE):
-        for y in range(FIRST, FIRST + SIZE):
-            p, q = ((c.get((x, y), 0) + pseudo) / (s.get(x, 0) + pseudo * len(seen)) for c, s in zip((random, ordinary), sums, strict=True))
-            out.append(math.log(p / q))
-    return out
+    codes = range(FIRST, FIRST + SIZE)
+    seen = len({c for pair in (*random, *ordinary) for c in pair}) or 1
+    one, other = _model(random, seen), _model(ordinary, seen)
+    return [math.log(one(x, y) / other(x, y)) for x in codes for y in codes]
 
 
 def mean_ratio(token: Column, table: list[float]) -> Column:
