@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factview.llm import byte_bpe, ngram_join, pii, quality_rules, secret_scan, sharding, token_counts
+from factview.llm import byte_bpe, decontaminate, ngram_join, pii, quality_rules, secret_scan, sharding, token_counts
 from factview.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ def _batched(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "first_word")
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     _batched(spark)
     return ngram_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -61,6 +67,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_ngram_join": op2_ngram_join,
         "op3_pii": op3_pii,
         "op4_secret_scan": op4_secret_scan,
