@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factview.llm import byte_bpe, decontaminate, ngram_join, pii, quality_rank, quality_rules, secret_scan, sharding, token_counts
+from factview.llm import byte_bpe, decontaminate, line_dedup, ngram_join, pii, quality_rank, quality_rules, secret_scan, sharding, token_counts
 from factview.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.deduplicate(docs)
+    return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     _batched(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,6 +86,7 @@ def queries() -> dict[str, Query]:
         "op4_secret_scan": op4_secret_scan,
         "op5_sharding": op5_sharding,
         "op6_token_counts": op6_token_counts,
+        "op7_line_dedup": op7_line_dedup,
         "op8_quality_rank": op8_quality_rank,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_rules": op10_quality_rules,
