@@ -17,7 +17,7 @@ ARROW_ROWS = "1000"
 ARROW_BYTES = str(16 << 20)
 
 
-def _batched(spark: SparkSession) -> None:
+def batched(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
@@ -29,7 +29,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _batched(spark)
+    batched(spark)
     return ngram_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
@@ -47,7 +47,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _batched(spark)
+    batched(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = token_counts.with_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -60,14 +60,14 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _batched(spark)
+    batched(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranking = quality_rank.train(docs, table(spark, sf_dir, "labels"))
     return quality_rank.scored(docs, ranking).select("doc_id", "held_out", "score", "predicted")
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _batched(spark)
+    batched(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = byte_bpe.with_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=False)
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

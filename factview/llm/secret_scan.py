@@ -46,7 +46,11 @@ def random_strings(spark: SparkSession, n: int = SAMPLE_STRINGS) -> DataFrame:
 
 def ordinary_words(docs: DataFrame, n: int = SAMPLE_DOCUMENTS) -> DataFrame:
     """Words and identifiers without digits, of the ``n`` documents with the smallest hash; exact spans are cut out first."""
-    some = docs.select(text_of().alias("text"), F.xxhash64("text").alias("_h")).orderBy("_h", "text").limit(n)
+    own = [F.col("doc_id")] if "doc_id" in docs.columns else []
+    hashed = docs.select(text_of().alias("text"), F.xxhash64(*own, F.col("text")).alias("_h"))
+    # Only digests are ranked; texts are read where they are.
+    last = hashed.select("_h").orderBy("_h").limit(n).agg(F.max("_h")).first()[0]
+    some = hashed.where(F.col("_h") <= last) if last is not None else hashed.limit(0)
     text = F.col("text")
     for pattern in BASE.values():
         text = F.regexp_replace(text, pattern, " ")
