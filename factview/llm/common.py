@@ -88,6 +88,16 @@ def checked(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows for which a costly condition holds.
+
+    A plain filter would be moved below the projections that compute its
+    columns and repeat their work; a generator stays where it is.
+    """
+    names = [F.col(f"`{c}`") for c in df.columns]
+    return df.select(*names, F.explode(F.when(condition, F.array(F.lit(True)))).alias("_held")).drop("_held")
+
+
 def small_or_shuffled(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if it has at most BROADCAST_ROWS rows, else as it is."""
     n = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
