@@ -141,7 +141,7 @@ class Store:
         return [p["location"] for p in relation["view"]["pins"].values()]
 
     def published(self, kind: str, name: str, snapshot: dict[str, Any] | None = None) -> dict[str, Any] | None:
-        return (snapshot or self.snapshot())["markers"][kind].get(name)
+        return (snapshot or self.snapshot())["markers"].get(kind, {}).get(name)
 
     def marker(self, name: str) -> dict[str, Any] | None:
         """A published marker by name: of a table, else a dataset, a contour, a component."""
