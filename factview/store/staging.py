@@ -37,7 +37,7 @@ def _stage(store: Store, kind: str, name: str, schema: str, update_id: str, writ
             location = store.new_location(schema, name)
             df, more = write(location)
             rows = write_folder(df, location)
-            relation = {"kind": "table", "location": location, "columns": describe(df), "rows": rows}
+            relation = {"kind": "table", "location": location, "columns": [list(c) for c in describe(df)], "rows": rows}
             found = {"update_id": update_id, "relation": relation, "marker": {**marker, **more, "update_id": update_id, "row_count": rows, "loader_version": ids.LOADER_VERSION, "type_map_version": ids.TYPE_MAP_VERSION}}
             write_atomically(store.staged_path(kind, name), json.dumps(found, sort_keys=True))
         return Staged(kind, name, schema, update_id, "staged", expected, found["relation"], found["marker"])
@@ -66,7 +66,7 @@ def _view(store: Store, dataset: Dataset, update_id: str, status: str, expected:
     view = {
         "kind": "view",
         "view": {"manifest": dataset.canonical(), "pins": {n: {"name": s.name, "schema": s.schema, "update_id": s.update_id, "location": s.relation["location"]} for n, s in pins.items()}},
-        "columns": columns,
+        "columns": [list(c) for c in columns],
     }
     marker = {**marker, "update_id": update_id, "manifest_hash": dataset.manifest_hash(), "loader_version": ids.LOADER_VERSION, "type_map_version": ids.TYPE_MAP_VERSION}
     return Staged("dataset", dataset.name, PUBLIC, update_id, status, expected, relation or view, marker)
