@@ -17,22 +17,22 @@ def connected(edges: DataFrame) -> DataFrame:
     reaches the driver. Nulls and loops are ignored; no edges give no rows.
     """
     left = checked(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    labels: DataFrame | None = None
+    steps: list[DataFrame] = []
     while not left.isEmpty():
         ends = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = checked(ends.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")))
-        if labels is None:
-            labels = step
-        else:
-            further = step.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-            labels = checked(labels.join(further, "comp", "left").select("node", F.coalesce("next", "comp").alias("comp")))
+        steps.append(step)
         one = step.select(F.col("node").alias("a"), F.col("comp").alias("x"))
         two = step.select(F.col("node").alias("b"), F.col("comp").alias("y"))
         moved = left.join(one, "a").join(two, "b").where("x <> y")
         left = checked(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    if labels is None:
+    if not steps:
         return left.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-    return labels
+    labels = steps[0]
+    for step in steps[1:]:
+        further = step.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
+        labels = labels.join(further, "comp", "left").select("node", F.coalesce("next", "comp").alias("comp"))
+    return checked(labels) if len(steps) > 1 else labels
 
 
 def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
