@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ CHUNK = 100_000
 OVERLAP = 500
 HUGE = 200_000
 #: Characters encoded in one call, which bounds the memory of an Arrow batch's ids.
-CALL = 2_000_000
+CALL = 500_000
 #: The model's mark for a space; a text may also contain it.
 SPACES = " ▁"
 
@@ -42,15 +43,32 @@ def splits_at_spaces(path: str) -> bool:
     return all(SPACES[1] not in own.id_to_piece(k).lstrip(SPACES[1]) for k in range(own.get_piece_size()))
 
 
-def _spans(own: sentencepiece.SentencePieceProcessor, text: str, begin: int, end: int) -> list[tuple[int, int, int]]:
-    got = own.encode(text[begin:end], out_type="immutable_proto")
-    return [(begin + p.begin, begin + p.end, p.id) for p in got.pieces]
+def _spans(own: sentencepiece.SentencePieceProcessor, text: str, begin: int, end: int) -> list[tuple[int, int]]:
+    """(begin, id) of each piece; the library counts bytes, here they are characters of the whole text."""
+    part = text[begin:end]
+    data = np.frombuffer(part.encode(), dtype=np.uint8)
+    characters = np.append(np.cumsum((data & 0xC0) != 0x80) - 1, len(part))
+    return [(begin + int(characters[p.begin]), p.id) for p in own.encode(part, return_type="proto").pieces]
 
 
-def _common(text: str, left: list[tuple[int, int, int]], right: list[tuple[int, int, int]], low: int, high: int) -> int | None:
+def _from(own: sentencepiece.SentencePieceProcessor, text: str, begin: int, end: int) -> list[tuple[int, int]]:
+    """The pieces from the text's begin or a stable place on, as they are within the whole.
+
+    At a stable place a space stands; the space that the library puts before
+    every text takes its part.
+    """
+    if not begin:
+        return _spans(own, text, 0, end)
+    if begin + 1 == end:
+        return [(begin, own.piece_to_id(SPACES[1]))]
+    found = _spans(own, text, begin + 1, end)
+    return [(begin, found[0][1]), *found[1:]]
+
+
+def _common(text: str, left: list[tuple[int, int]], right: list[tuple[int, int]], low: int, high: int) -> int | None:
     """The last stable place after ``low`` and before ``high`` where both have a boundary."""
-    here = {b for b, _, _ in left if low < b < high}
-    there = {b for b, _, _ in right if low < b < high}
+    here = {b for b, _ in left if low < b < high}
+    there = {b for b, _ in right if low < b < high}
     found = [p for p in here & there if text[p] in SPACES and text[p - 1] not in SPACES]
     return max(found, default=None)
 
@@ -68,17 +86,17 @@ def encode(text: str, path: str, chunk: int = CHUNK, overlap: int = OVERLAP, hug
         while at is None:
             low = max(begin, end - wide)
             if low == begin:  # the overlap is the whole chunk: both are encoded as one
-                held, at = _spans(own, text, begin, further), begin
+                held, at = _from(own, text, begin, further), begin
                 break
             following = _spans(own, text, low, further)
             at = _common(text, held, following, low, end)
             if at is not None:
-                done += [x for b, _, x in held if b < at]
+                done += [x for b, x in held if b < at]
                 held = [s for s in following if s[0] >= at]
                 begin = at
             wide *= 2
         end = further
-    return done + [x for _, _, x in held]
+    return done + [x for _, x in held]
 
 
 def counts(texts: list[str], path: str) -> list[int]:
