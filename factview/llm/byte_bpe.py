@@ -20,7 +20,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factview.llm.common import text_of
+from factview.llm.common import packed, text_of, unpacked
 
 #: Characters of a part, and of a part from which on matches are encoded one by one.
 PART = 1 << 16
@@ -88,5 +88,5 @@ def with_tokens(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> D
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in fields.split(", ")])
 
     names = [x.split()[0] for x in fields.split(", ")]
-    out = docs.drop(*names).withColumn("_bpe", run(text_of()))
-    return out.select(*[c for c in docs.columns if c not in names], *[F.col("_bpe")[c].alias(c) for c in names])
+    out = packed(docs, "text").withColumn("bpe", run(text_of()))
+    return unpacked(out.select("*", *[F.col("bpe")[c].alias(c) for c in names]), docs.columns, ("text",), names)

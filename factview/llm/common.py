@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +88,22 @@ def checked(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Holds the columns that an operator passes on, so that no name clashes with its own.
+OTHERS = "__others"
+
+
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns as far as there are any, and all others as one."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    return docs.select(*[c for c in needed if c in docs.columns], F.struct(*others or [F.lit(None).alias("none")]).alias(OTHERS))
+
+
+def unpacked(rows: DataFrame, columns: list[str], needed: tuple[str, ...], added: Sequence[str] = ()) -> DataFrame:
+    """The columns from before ``packed`` in their order, less those that are added at the end."""
+    own = [F.col(c) if c in needed else F.col(OTHERS).getField(c).alias(c) for c in columns if c not in added]
+    return rows.select(*own, *added)
+
+
 def where_computed(df: DataFrame, condition: Column) -> DataFrame:
     """The rows for which a costly condition holds.
 
@@ -95,7 +111,7 @@ def where_computed(df: DataFrame, condition: Column) -> DataFrame:
     columns and repeat their work; a generator stays where it is.
     """
     names = [F.col(f"`{c}`") for c in df.columns]
-    return df.select(*names, F.explode(F.when(condition, F.array(F.lit(True)))).alias("_held")).drop("_held")
+    return df.select(*names, F.explode(F.when(condition, F.array(F.lit(True)))).alias("__held")).drop("__held")
 
 
 def small_or_shuffled(df: DataFrame, rows: int | None = None) -> DataFrame:

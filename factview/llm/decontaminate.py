@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factview.llm.common import shingle_hashes, small_or_shuffled, stored, text_of, words
+from factview.llm.common import packed, shingle_hashes, small_or_shuffled, stored, text_of, unpacked, words
 from factview.llm.simhash import blocks, distance, simhash
 
 SHINGLE = 5
@@ -89,4 +89,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radiu
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; all columns and all other rows stay."""
     bad = stored(matches(docs, benchmark).select("doc_key").distinct())
-    return docs.withColumn("_key", doc_key()).join(small_or_shuffled(bad).withColumnRenamed("doc_key", "_key"), "_key", "left_anti").drop("_key")
+    rows = packed(docs, "doc_id", "text").withColumn("doc_key", doc_key())
+    return unpacked(rows.join(small_or_shuffled(bad), "doc_key", "left_anti"), docs.columns, ("doc_id", "text"))

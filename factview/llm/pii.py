@@ -13,7 +13,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factview.llm.common import stored, text_of
+from factview.llm.common import packed, stored, text_of, unpacked
 from factview.llm.spans import apart, located, written
 from factview.llm.weak_labels import classifier, posteriors
 
@@ -128,7 +128,7 @@ def detect(docs: DataFrame) -> DataFrame:
     counts of vote patterns reach the driver.
     """
     added = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"]
-    rows = stored(spans(docs.drop(*added, *[f"_{k}" for k in KINDS])))
+    rows = stored(spans(packed(docs, "text")))
     votes = rows.select(F.explode(F.flatten(F.array(*[F.transform(f"_{k}", lambda x: x["votes"]) for k in KINDS]))).alias("v"))
     counts = {tuple(r["v"]): float(r["n"]) for r in votes.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
     weights = classifier(counts, posteriors(counts))
@@ -143,11 +143,12 @@ def detect(docs: DataFrame) -> DataFrame:
     rows = rows.withColumns(loose)
     base = F.concat(*[written(k, F.col(f"_{k}")) for k in BASE])
     more = F.concat(*[written(k, F.col(f"_{k}")) for k in LOOSE])
-    return rows.withColumns(
+    rows = rows.withColumns(
         {
             **{f"n_{k}": F.size(f"_{k}").cast("bigint") for k in BASE},
             "base_sha256": F.sha2(F.array_join(base, ",").cast("binary"), 256),
             "spans": F.array_join(F.concat(base, more), ","),
             "n_added": F.size(more).cast("bigint"),
         }
-    ).drop(*[f"_{k}" for k in KINDS])
+    )
+    return unpacked(rows, [c for c in docs.columns if c != "text"], (), added)

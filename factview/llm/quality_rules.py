@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factview.llm.common import NOT_SPACE, text_of, words
+from factview.llm.common import NOT_SPACE, packed, text_of, unpacked, words
 
 # The common words that make up a language's word histogram.
 COMMON_WORDS = {
@@ -194,5 +194,6 @@ def judge(docs: DataFrame) -> DataFrame:
     documents of no listed language, by characters alone. Repeated rows get
     the same verdict each; an empty table gives no rows.
     """
-    docs = docs.drop(*ADDED)
-    return measured(docs, references(docs))
+    needed = ("text", "lang")
+    rows = packed(docs, *needed)
+    return unpacked(measured(rows, references(rows)), docs.columns, needed, ADDED)

@@ -14,7 +14,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factview.llm.common import text_of
+from factview.llm.common import packed, text_of, unpacked
 from factview.llm.spans import apart, located
 
 #: Exact patterns; see ``holds`` for what else a match must meet.
@@ -125,9 +125,8 @@ def scan(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
     gives no rows.
     """
     added = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"]
-    docs = docs.drop(*added)
     table = train(docs) if table is None else table
-    rows = docs.withColumn("_text", text_of())
+    rows = packed(docs, "text").withColumn("_text", text_of())
     rows = located(rows, "_text", {f"_{k}": p for k, p in BASE.items()} | {"_random": TOKEN})
     rows = rows.withColumns({f"_{k}": F.filter(f"_{k}", partial(_held, k)) for k in BASE})
     likely = F.filter("_random", lambda x: x["value"].rlike("[0-9]") & (mean_ratio(x["value"], table) >= THRESHOLD))
@@ -149,4 +148,4 @@ def scan(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
             "spans": listed([*BASE, "random"]),
         }
     )
-    return rows.drop("_text", "text", "_random", *[f"_{k}" for k in BASE])
+    return unpacked(rows, [c for c in docs.columns if c != "text"], (), added)

@@ -19,7 +19,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factview.llm.common import slices, text_of
+from factview.llm.common import packed, slices, text_of, unpacked
 
 #: Characters of a chunk, of the first overlap, and from which on a text is encoded in chunks.
 CHUNK = 100_000
@@ -123,5 +123,5 @@ def with_counts(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
             yield pd.Series(counts(texts.tolist(), path), dtype="int64")
 
     text = text_of()
-    docs = docs.withColumns({"_n": run(text), "_b": F.octet_length(text).cast("bigint")}).drop("n_bytes", "n_tokens", "over_limit")
-    return docs.withColumnsRenamed({"_n": "n_tokens", "_b": "n_bytes"}).withColumn("over_limit", F.col("n_tokens") > limit)
+    rows = packed(docs, "text").withColumns({"n_bytes": F.octet_length(text).cast("bigint"), "n_tokens": run(text)})
+    return unpacked(rows.withColumn("over_limit", F.col("n_tokens") > limit), docs.columns, ("text",), ("n_bytes", "n_tokens", "over_limit"))
