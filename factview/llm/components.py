@@ -11,16 +11,19 @@ from factview.llm.common import checked
 def connected(edges: DataFrame) -> DataFrame:
     """(node, comp) for each end of an edge (a, b); comp is the smallest node of its component.
 
-    Each step moves every node to its smallest neighbour and keeps the edges
-    between different nodes that then remain, so chains shrink by more than
-    half and hubs vanish at once. Steps are checkpointed; nothing but a count
-    reaches the driver. Nulls and loops are ignored; no edges give no rows.
+    Each step moves every node to its neighbour that comes first in a random
+    order (another one in each step) and keeps the edges between different
+    nodes that then remain: hubs vanish at once and chains of any labelling
+    halve. Steps are checkpointed; no more than whether edges are left reaches
+    the driver. Nulls and loops are ignored; no edges give no rows.
     """
     left = checked(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     steps: list[DataFrame] = []
     while not left.isEmpty():
+        turn = F.lit(len(steps))
         ends = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = checked(ends.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")))
+        first = ends.groupBy(F.col("a").alias("node")).agg(F.min(F.struct(F.xxhash64("b", turn).alias("h"), F.col("b"))).alias("m"))
+        step = checked(first.select("node", F.when(F.col("m.h") < F.xxhash64("node", turn), F.col("m.b")).otherwise(F.col("node")).alias("comp")))
         steps.append(step)
         one = step.select(F.col("node").alias("a"), F.col("comp").alias("x"))
         two = step.select(F.col("node").alias("b"), F.col("comp").alias("y"))
@@ -32,7 +35,8 @@ def connected(edges: DataFrame) -> DataFrame:
     for step in steps[1:]:
         further = step.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
         labels = labels.join(further, "comp", "left").select("node", F.coalesce("next", "comp").alias("comp"))
-    return checked(labels) if len(steps) > 1 else labels
+    smallest = labels.groupBy("comp").agg(F.min("node").alias("first"))
+    return checked(labels.join(smallest, "comp").select("node", F.col("first").alias("comp")))
 
 
 def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
