@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factview.llm.common import checked
 
 
+def _place(step: int) -> Callable[[Column], Column]:
+    """A node's place in the order of a step."""
+    return (lambda c: F.xxhash64(c, F.lit(step))) if step % 2 else (lambda c: c)
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, comp) for each end of an edge (a, b); comp is the smallest node of its component.
 
-    Each step moves every node to its neighbour that comes first in a random
-    order (another one in each step) and keeps the edges between different
-    nodes that then remain: hubs vanish at once and chains of any labelling
-    halve. Steps are checkpointed; no more than whether edges are left reaches
+    Each step moves every node to its neighbour that comes first in an order
+    and keeps the edges between different nodes that then remain. The orders
+    are by number and random in turn: stars around their smallest node vanish
+    at once, and chains of any labelling halve every second step. Steps are checkpointed; no more than whether edges are left reaches
     the driver. Nulls and loops are ignored; no edges give no rows.
     """
     left = checked(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     steps: list[DataFrame] = []
     while not left.isEmpty():
-        turn = F.lit(len(steps))
+        place = _place(len(steps))
         ends = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        first = ends.groupBy(F.col("a").alias("node")).agg(F.min(F.struct(F.xxhash64("b", turn).alias("h"), F.col("b"))).alias("m"))
-        step = checked(first.select("node", F.when(F.col("m.h") < F.xxhash64("node", turn), F.col("m.b")).otherwise(F.col("node")).alias("comp")))
+        first = ends.groupBy(F.col("a").alias("node")).agg(F.min(F.struct(place(F.col("b")).alias("h"), F.col("b"))).alias("m"))
+        step = checked(first.select("node", F.when(F.col("m.h") < place(F.col("node")), F.col("m.b")).otherwise(F.col("node")).alias("comp")))
         steps.append(step)
         one = step.select(F.col("node").alias("a"), F.col("comp").alias("x"))
         two = step.select(F.col("node").alias("b"), F.col("comp").alias("y"))
