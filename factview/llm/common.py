@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -104,6 +105,12 @@ def unpacked(rows: DataFrame, columns: list[str], needed: tuple[str, ...], added
     return rows.select(*own, *added)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the broadcasts and shuffle files of steps that are done, which it does as objects are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def where_computed(df: DataFrame, condition: Column) -> DataFrame:
     """The rows for which a costly condition holds.
 
