@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 #: White space of the word definition: space and U+0009 to U+000D, nothing else.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
-#: Rows that a side of a join may have, after counting, to be broadcast (ids only: about 16 MB).
-BROADCAST_ROWS = 1_000_000
+#: Rows that a side of a join may have, after counting, to be broadcast (a few numbers each: about 10 MB).
+BROADCAST_ROWS = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
