@@ -10,18 +10,22 @@ from pyspark.sql import functions as F
 from factview.llm.common import checked
 
 
+#: Steps that take nodes by number, which ends most graphs of near copies; later ones are random in turn.
+BY_NUMBER = 4
+
+
 def _place(step: int) -> Callable[[Column], Column]:
     """A node's place in the order of a step."""
-    return (lambda c: F.xxhash64(c, F.lit(step))) if step % 2 else (lambda c: c)
+    return (lambda c: F.xxhash64(c, F.lit(step))) if step >= BY_NUMBER and step % 2 else (lambda c: c)
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, comp) for each end of an edge (a, b); comp is the smallest node of its component.
 
     Each step moves every node to its neighbour that comes first in an order
-    and keeps the edges between different nodes that then remain. The orders
-    are by number and random in turn: stars around their smallest node vanish
-    at once, and chains of any labelling halve every second step. Steps are checkpointed; no more than whether edges are left reaches
+    and keeps the edges between different nodes that then remain. The first
+    orders are by number: stars around their smallest node vanish at once.
+    Then every second one is random, so that chains of any labelling halve. Steps are checkpointed; no more than whether edges are left reaches
     the driver. Nulls and loops are ignored; no edges give no rows.
     """
     left = checked(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
@@ -42,6 +46,9 @@ def connected(edges: DataFrame) -> DataFrame:
     for step in steps[1:]:
         further = step.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
         labels = labels.join(further, "comp", "left").select("node", F.coalesce("next", "comp").alias("comp"))
+    labels = checked(labels) if len(steps) > 1 else labels
+    if len(steps) <= BY_NUMBER:  # each component has then ended at its smallest node
+        return labels
     smallest = labels.groupBy("comp").agg(F.min("node").alias("first"))
     return checked(labels.join(smallest, "comp").select("node", F.col("first").alias("comp")))
 
