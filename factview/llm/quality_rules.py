@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factview.llm.common import NOT_SPACE, packed, text_of, unpacked, words
+from factview.llm.common import NOT_SPACE, packed, stored, text_of, unpacked, words
 
 # The common words that make up a language's word histogram.
 COMMON_WORDS = {
@@ -29,91 +29,18 @@ MAX_WORD_DISTANCE = (0.115, 1.2)
 MIN_RULE_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
+#: Columns that ``judge`` adds.
+ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "js_characters", "js_words", "base_failed", "kept"]
 
 
 def class_count(text: Column, members: str) -> Column:
-    return F.length(F.regexp_replace(text, f"[^{members}]+", ""))
+    return F.length(F.regexp_replace(text, f"[^{members}]+", "")).cast("bigint")
 
 
 def language() -> Column:
     return F.when(F.col("lang").isin(*COMMON_WORDS), F.col("lang")).otherwise(F.lit("other"))
 
 
-def occurrences(joined: Column, word: str) -> Column:
-    """How often ``word`` occurs in words joined and enclosed by double spaces."""
-    return ((F.length(joined) - F.length(F.replace(joined, F.lit(f" {word} "), F.lit("")))) / (len(word) + 2)).cast("bigint")
-
-
-def histograms(docs: DataFrame, text: str = "_text", tokens: str = "_words", lang: str = "_lang") -> DataFrame:
-    """Adds ``_symbols``, ``_word_chars``, ``_classes`` and ``_common`` (counts, the rest last)."""
-    t, w = F.col(text), F.col(tokens)
-    counted = docs.withColumns(
-        {
-            "_word_chars": F.length(F.array_join(w, "")).cast("bigint"),
-            "_symbols": class_count(t, CHARACTER_CLASSES["symbol"]).cast("bigint"),
-            **{f"_{k}": class_count(t, v).cast("bigint") for k, v in CHARACTER_CLASSES.items() if k != "symbol"},
-            "_listed": F.filter(w, lambda x: F.lower(x).isin(*sorted({x for v in COMMON_WORDS.values() for x in v}))),
-        }
-    )
-    counted = counted.withColumn("_joined", F.lower(F.concat(F.lit(" "), F.array_join(F.col("_listed"), "  "), F.lit(" "))))
-    by_language = F.lit(None).cast("array<bigint>")
-    for name, listed in COMMON_WORDS.items():
-        counts = F.array(*[occurrences(F.col("_joined"), x) for x in listed])
-        by_language = F.when(F.col(lang) == name, counts).otherwise(by_language)
-    counted = counted.withColumn("_named", by_language)
-    named = F.aggregate(F.col("_named"), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return counted.withColumns(
-        {
-            "_classes": F.array(
-                F.length(t) - F.col("_word_chars"), "_upper", "_digit", "_point", "_symbols",
-                F.col("_word_chars") - F.col("_upper") - F.col("_digit") - F.col("_point") - F.col("_symbols"),
-            ),
-            "_common": F.concat(F.col("_named"), F.array(F.size(w).cast("bigint") - named)),
-        }
-    ).drop("_upper", "_digit", "_point", "_listed", "_joined", "_named")
-
-
-def references(docs: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
-    """Summed histograms for each listed language and ``other``, over all documents above the guard.
-
-    At most five rows reach the driver, whatever the input.
-    """
-    n_classes, n_words = len(CHARACTER_CLASSES) + 2, max(map(len, COMMON_WORDS.values())) + 1
-    rows = histograms(prepared(docs)).where(F.size("_words") >= MIN_WORDS)
-    sums = rows.groupBy("_lang").agg(
-        *[F.sum(F.get("_classes", F.lit(k))).alias(f"c{k}") for k in range(n_classes)],
-        *[F.sum(F.get("_common", F.lit(k))).alias(f"w{k}") for k in range(n_words)],
-    )
-    return {
-        r["_lang"]: ([r[f"c{k}"] or 0 for k in range(n_classes)], [r[f"w{k}"] or 0 for k in range(n_words)]) for r in sums.collect()
-    }
-
-
-def prepared(docs: DataFrame) -> DataFrame:
-    lang = language() if "lang" in docs.columns else F.lit("other")
-    return docs.withColumn("_text", text_of()).withColumns({"_words": words(F.col("_text")), "_lang": lang})
-
-
-def js_distance(counts: Column, reference: list[int]) -> Column:
-    """Jensen-Shannon distance (base 2) of counts from a reference; 0 if either has no mass."""
-    total = sum(reference)
-    if not total:
-        return F.lit(0.0)
-    mass = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x).cast("double")
-    q = F.array(*[F.lit(x / total) for x in reference])
-
-    def part(x: Column, m: Column) -> Column:
-        return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-
-    terms = F.zip_with(counts, q, lambda x, y: part(x / mass, (x / mass + y) / 2) + part(y, (x / mass + y) / 2))
-    divergence = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2
-    return F.when(mass > 0, F.sqrt(F.greatest(divergence, F.lit(0.0)))).otherwise(0.0)
-
-
-def allowed(n_words: Column, limit: tuple[float, float]) -> Column:
-    return limit[0] + limit[1] / F.sqrt(F.greatest(n_words, F.lit(1)))
-
-
 def ordered_windows(hashes: Column) -> Column:
     return F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
@@ -136,64 +63,112 @@ def covered_words(starts: Column) -> Column:
     return F.aggregate(starts, start, step)["covered"].cast("bigint")
 
 
-def measured(docs: DataFrame, found: dict[str, tuple[list[int], list[int]]]) -> DataFrame:
-    """``docs`` with the rules' counts, distances, ``base_failed`` and ``kept``, in one pass without a shuffle."""
-    rows = histograms(prepared(docs))
+def counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with the rules' counts and both histograms, ``_classes`` and ``_common`` (the rest last). The one pass over the texts."""
+    lang = language() if "lang" in docs.columns else F.lit("other")
+    rows = docs.withColumn("_text", text_of()).withColumns({"_words": words(F.col("_text")), "_lang": lang})
+    w = F.col("_words")
+    run = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)])
     rows = rows.withColumns(
         {
-            "_windows": F.when(
-                F.size("_words") >= WINDOW,
-                F.transform(
-                    F.sequence(F.lit(0), F.size("_words") - WINDOW),
-                    lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(WINDOW)]),
-                ),
-            ),
+            "n_words": F.size(w).cast("bigint"),
+            "word_chars": F.length(F.array_join(w, "")).cast("bigint"),
+            **{f"_{k}": class_count(F.col("_text"), v) for k, v in CHARACTER_CLASSES.items()},
+            # Words of the document's language that are listed, in a string to look through.
+            "_listed": F.lower(F.array_join(F.filter(w, lambda x: F.lower(x).isin(*sorted({x for v in COMMON_WORDS.values() for x in v}))), "  ")),
+            "_windows": F.when(F.size(w) >= WINDOW, F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), run)),
             "_lines": F.filter(F.split("_text", "\n"), lambda x: x.rlike(NOT_SPACE)),
         }
     )
-    rows = rows.withColumn("_again", F.size(F.array_distinct("_windows")) < F.size("_windows"))
+    listed = F.create_map(*[x for k, v in COMMON_WORDS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    rows = rows.withColumns(
+        {
+            "_again": F.size(F.array_distinct("_windows")) < F.size("_windows"),
+            "_named": F.transform(F.get(F.map_values(F.map_filter(listed, lambda k, v: k == F.col("_lang"))), F.lit(0)), _occurrences),
+            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
+        }
+    )
     rows = rows.withColumn("_ordered", F.when(F.col("_again"), ordered_windows(F.col("_windows"))))
     rows = rows.withColumn("_starts", repeated_starts(F.col("_ordered")))
-    characters, common = F.lit(0.0), F.lit(0.0)
-    for lang, (classes, listed) in sorted(found.items()):
-        characters = F.when(F.col("_lang") == lang, js_distance(F.col("_classes"), classes)).otherwise(characters)
-        if lang in COMMON_WORDS:
-            common = F.when(F.col("_lang") == lang, js_distance(F.col("_common"), listed)).otherwise(common)
-    n = F.size("_words").cast("bigint")
+    others = [f"_{k}" for k in CHARACTER_CLASSES]
     rows = rows.withColumns(
         {
-            "n_words": n,
-            "word_chars": F.col("_word_chars"),
-            "n_symbols": F.col("_symbols"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
+            "n_symbols": F.col("_symbol"),
             "n_repeat_words": F.coalesce(covered_words(F.col("_starts")), F.lit(0).cast("bigint")),
-            "js_characters": F.when(n >= MIN_WORDS, characters).otherwise(0.0),
-            "js_words": F.when(n >= MIN_WORDS, common).otherwise(0.0),
+            "_classes": F.array(F.length("_text") - F.col("word_chars"), *others, F.col("word_chars") - sum((F.col(c) for c in others), F.lit(0))),
+            "_common": F.concat("_named", F.array(F.col("n_words") - F.aggregate("_named", F.lit(0).cast("bigint"), lambda a, x: a + x))),
         }
     )
-    rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_RULE_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    rows = rows.withColumn(
-        "kept",
-        ~F.col("base_failed")
-        & (F.col("js_characters") <= allowed(F.col("n_words"), MAX_CHARACTER_DISTANCE))
-        & (F.col("js_words") <= allowed(F.col("n_words"), MAX_WORD_DISTANCE)),
-    )
-    return rows.drop(*[c for c in rows.columns if c.startswith("_") and c not in docs.columns])
+    return rows.select(*docs.columns, "_lang", "_classes", "_common", *ADDED[:5])
 
 
-#: Columns that ``judge`` adds.
-ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "js_characters", "js_words", "base_failed", "kept"]
+def _occurrences(word: Column) -> Column:
+    """How often a word occurs in the listed ones, which double spaces part."""
+    enclosed = F.concat(F.lit(" "), F.col("_listed"), F.lit(" "))
+    return ((F.length(enclosed) - F.length(F.replace(enclosed, F.concat(F.lit(" "), word, F.lit(" ")), F.lit("")))) / (F.length(word) + 2)).cast("bigint")
+
+
+def references(rows: DataFrame) -> DataFrame:
+    """(_lang, _r_classes, _r_common): summed histograms for each listed language and ``other``, over all counted rows above the guard.
+
+    At most five rows, whatever the input.
+    """
+    n_classes, n_words = len(CHARACTER_CLASSES) + 2, max(map(len, COMMON_WORDS.values())) + 1
+    sums = rows.where(F.col("n_words") >= MIN_WORDS).groupBy("_lang").agg(
+        *[F.sum(F.get("_classes", F.lit(k))).alias(f"c{k}") for k in range(n_classes)],
+        *[F.sum(F.get("_common", F.lit(k))).alias(f"w{k}") for k in range(n_words)],
+    )
+    named = F.when(F.col("w0").isNotNull(), F.array(*[f"w{k}" for k in range(n_words)]))
+    return sums.select("_lang", F.array(*[f"c{k}" for k in range(n_classes)]).alias("_r_classes"), named.alias("_r_common"))
+
+
+def js_distance(counts: str, reference: str) -> Column:
+    """Jensen-Shannon distance (base 2) of two columns of counts; 0 if either has no mass."""
+    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x).cast("double")
+    start = F.struct(F.lit(0.0).alias("sum"), total(F.col(counts)).alias("n"), total(F.col(reference)).alias("m"))
+
+    def part(x: Column, mean: Column) -> Column:
+        return F.when(x > 0, x * F.log2(x / mean)).otherwise(0.0)
+
+    def step(held: Column, pair: Column) -> Column:
+        p, q = pair["x"] / held["n"], pair["y"] / held["m"]
+        return F.struct((held["sum"] + part(p, (p + q) / 2) + part(q, (p + q) / 2)).alias("sum"), held["n"].alias("n"), held["m"].alias("m"))
+
+    pairs = F.zip_with(counts, reference, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    pairs = F.when((total(F.col(counts)) > 0) & (total(F.col(reference)) > 0), pairs)
+    return F.coalesce(F.sqrt(F.greatest(F.aggregate(pairs, start, step)["sum"] / 2, F.lit(0.0))), F.lit(0.0))
+
+
+def allowed(limit: tuple[float, float]) -> Column:
+    return limit[0] + limit[1] / F.sqrt(F.greatest("n_words", F.lit(1)))
+
+
+def verdicts(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Counted rows with distances, ``base_failed`` and ``kept``; the references, at most five rows, are broadcast."""
+    rows = rows.join(F.broadcast(found), "_lang", "left")
+    long = F.col("n_words") >= MIN_WORDS
+    rows = rows.withColumns(
+        {
+            "js_characters": F.round(F.when(long, js_distance("_classes", "_r_classes")).otherwise(0.0), 9),
+            "js_words": F.round(F.when(long, js_distance("_common", "_r_common")).otherwise(0.0), 9),
+            "base_failed": (F.col("n_words") < MIN_RULE_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
+        }
+    )
+    near = (F.col("js_characters") <= allowed(MAX_CHARACTER_DISTANCE)) & (F.col("js_words") <= allowed(MAX_WORD_DISTANCE))
+    return rows.withColumn("kept", ~F.col("base_failed") & near).drop("_lang", "_classes", "_common", "_r_classes", "_r_common")
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """``docs`` with the columns ADDED; equally named columns of ``docs`` are replaced.
+def judge(docs: DataFrame, texts: bool = True) -> DataFrame:
+    """``docs``, without ``text`` unless ``texts``, with the columns ADDED; equally named columns of ``docs`` are replaced.
 
-    Reads the documents twice: once for the references (a few sums), once for
-    the rules. Neither pass moves a text. A null text counts as empty and
-    fails by its length; a null or unlisted ``lang`` is held against the
-    documents of no listed language, by characters alone. Repeated rows get
-    the same verdict each; an empty table gives no rows.
+    Reads the documents once. Counts and histograms are written beside the
+    columns that are passed on; references (a few sums) and verdicts come from
+    there. A null text counts as empty and fails by its length; a null or
+    unlisted ``lang`` is held against the documents of no listed language, by
+    characters alone. Repeated rows get the same verdict each; an empty table
+    gives no rows. Distances are rounded to nine digits.
     """
     needed = ("text", "lang")
-    rows = packed(docs, *needed)
-    return unpacked(measured(rows, references(rows)), docs.columns, needed, ADDED)
+    rows = counted(packed(docs, *needed))
+    rows = stored(rows if texts else rows.drop("text"))
+    return unpacked(verdicts(rows, references(rows)), [c for c in docs.columns if texts or c != "text"], needed, ADDED)

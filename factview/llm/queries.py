@@ -75,7 +75,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality_rules.judge(docs).select("doc_id", *quality_rules.ADDED)
+    return quality_rules.judge(docs, texts=False).select("doc_id", *quality_rules.ADDED)
 
 
 def queries() -> dict[str, Query]:

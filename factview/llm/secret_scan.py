@@ -1,8 +1,10 @@
 """Secrets by exact patterns and by character Markov models.
 
 Two first-order character models, of random strings and of ordinary words and
-identifiers, are trained from labelled samples; a token whose mean
-log-likelihood ratio favours the random model is a secret, too.
+identifiers, are trained from labelled samples and from the words of all
+documents; a token whose log-likelihood ratio, summed over its characters,
+favours the random model is a secret, too. The sum allows for a token's
+length: a short one must look random at every character.
 """
 
 from __future__ import annotations
@@ -19,20 +21,34 @@ from factview.llm.spans import apart, located
 
 #: Exact patterns; see ``holds`` for what else a match must meet.
 BASE = {
-    "assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9+/_.=\-]+""",
+    # Letters in either case; the look ahead is a quick test of the first two.
+    "assign": (
+        r"(?=[aApPsStT][aAeEoOpP])(?:[pP][aA][sS][sS](?:[wW][oO][rR][dD]|[wW][dD])|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+        r"""["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9+/_.=\-]+"""
+    ),
     "access": r"AKIA[A-Z0-9]++",
     "hex": r"[0-9a-f]{16,}+",
 }
-#: Tokens that the models judge.
-TOKEN = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_=\-]{20,}+"
+#: Tokens that the models judge: runs of so many or more of these characters.
+LEAST = 12
+TOKEN = rf"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_=\-]{{{LEAST},}}+"
 VALUE = r"""^[A-Za-z_]+["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=\-]+)$"""
-#: Mean log-likelihood ratio (nats a character) from which a token is random.
-THRESHOLD = 0.4
-#: Documents read for ordinary words, at most, and random strings made, for training.
-SAMPLE_DOCUMENTS = 2_000
+#: Log-likelihood ratio (nats, over the whole token) from which a token is random.
+THRESHOLD = 14.0
+#: Words of documents that teach the ordinary model: the longer ones, as only those are judged.
+WORD = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z][A-Za-z0-9_\-]{7,}+"
+#: Tokens of documents that do not teach it: long ones with digits may be secrets themselves.
+DOUBTFUL = r"^(?=.*[0-9]).{16,}$|^AKIA"
+#: Labelled random strings, and labelled identifiers, made for training.
 SAMPLE_STRINGS = 3_000
+SAMPLE_IDENTIFIERS = 3_000
+#: Share of the labelled identifiers in the ordinary model; the words of the documents have the rest.
+IDENTIFIER_SHARE = 0.3
 #: Characters of the models: U+0020 to U+007F.
 FIRST, SIZE = 32, 96
+# Parts that labelled identifiers are made of.
+NAME_PARTS = ["app", "backup", "build", "cache", "client", "config", "data", "draft", "export", "image", "index", "item", "log", "model", "order", "page", "report", "server", "table", "user"]
+SEPARATORS = ["", "-", "_", "/"]
 
 
 def random_strings(spark: SparkSession, n: int = SAMPLE_STRINGS) -> DataFrame:
@@ -44,30 +60,42 @@ def random_strings(spark: SparkSession, n: int = SAMPLE_STRINGS) -> DataFrame:
     return spark.range(n).select(F.when(kind == 0, F.substring(digest, 1, 40)).when(kind == 1, base64).otherwise(letters).alias("token"))
 
 
-def ordinary_words(docs: DataFrame, n: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """Words and identifiers without digits, of the ``n`` documents with the smallest hash; exact spans are cut out first."""
-    own = [F.col("doc_id")] if "doc_id" in docs.columns else []
-    hashed = docs.select(text_of().alias("text"), F.xxhash64(*own, F.col("text")).alias("_h"))
-    # Only digests are ranked; texts are read where they are.
-    last = hashed.select("_h").orderBy("_h").limit(n).agg(F.max("_h")).first()[0]
-    some = hashed.where(F.col("_h") <= last) if last is not None else hashed.limit(0)
-    text = F.col("text")
-    for pattern in BASE.values():
-        text = F.regexp_replace(text, pattern, " ")
-    found = F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z0-9_\-])[A-Za-z_\-]++(?![0-9])"), F.lit(0))
-    return some.select(F.explode(found).alias("token"))
+def identifiers(spark: SparkSession, n: int = SAMPLE_IDENTIFIERS) -> DataFrame:
+    """Labelled ordinary identifiers with digits: dated, numbered and versioned names, and UUIDs."""
+    digit = lambda salt, most: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(most)).cast("int")
+    part = lambda salt: F.element_at(F.array(*map(F.lit, NAME_PARTS)), digit(salt, len(NAME_PARTS)) + 1)
+    sep = F.element_at(F.array(*map(F.lit, SEPARATORS)), digit("s", len(SEPARATORS)) + 1)
+    date = F.format_string("%04d%s%02d%s%02d", 1990 + digit("y", 40), sep, 1 + digit("m", 12), sep, 1 + digit("d", 28))
+    digest = F.md5(F.col("id").cast("string"))
+    uuid = F.concat_ws("-", *[F.substring(digest, a, k) for a, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    kinds = [
+        F.concat(part("a"), sep, part("b"), sep, date),
+        F.concat(F.initcap(part("a")), F.initcap(part("b")), digit("k", 1000).cast("string")),
+        F.concat(F.upper(part("a")), sep, F.format_string("%06d", digit("k", 1000000))),
+        F.concat(part("a"), sep, F.lit("v"), digit("k", 20).cast("string"), sep, digit("l", 10).cast("string"), sep, part("b")),
+        F.when(digit("u", 5) == 0, uuid).otherwise(F.concat(part("a"), sep, part("b"), sep, part("c"), digit("l", 10).cast("string"))),
+    ]
+    return spark.range(n).select(F.element_at(F.array(*kinds), (F.col("id") % len(kinds)).cast("int") + 1).alias("token"))
+
+
+def ordinary_words(docs: DataFrame) -> DataFrame:
+    """(token, n) of the words of all documents: counted before they are shuffled, so that frequent ones are rows of a task each."""
+    found = docs.select(F.explode(F.regexp_extract_all(text_of(), F.lit(WORD), F.lit(0))).alias("token"))
+    return found.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(~F.col("token").rlike(DOUBTFUL))
 
 
 def bigrams(tokens: DataFrame) -> dict[tuple[int, int], int]:
-    """Counts of neighbouring characters; at most SIZE squared rows reach the driver."""
-    at = F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("k")
-    pairs = tokens.where(F.length("token") > 1).select("token", at)
-    code = lambda k: F.ascii(F.substring(F.col("token"), k, F.lit(1)))
-    rows = pairs.groupBy(code(F.col("k")).alias("x"), code(F.col("k") + 1).alias("y")).agg(F.count(F.lit(1)).alias("n"))
-    return {(r["x"], r["y"]): r["n"] for r in rows.collect() if FIRST <= min(r["x"], r["y"]) and max(r["x"], r["y"]) < FIRST + SIZE}
+    """Counts of neighbouring characters of (token[, n]); at most SIZE squared rows reach the driver."""
+    weight = F.col("n") if "n" in tokens.columns else F.lit(1)
+    pairs = tokens.select(F.explode(F.regexp_extract_all("token", F.lit(r"(?=([\x20-\x7F]{2}))"), F.lit(1))).alias("xy"), weight.alias("n"))
+    rows = pairs.groupBy("xy").agg(F.sum("n").alias("n")).collect()
+    return {(ord(r["xy"][0]), ord(r["xy"][1])): r["n"] for r in rows}
+
 
+Chance = Callable[[int, int], float]
 
-def _model(counts: dict[tuple[int, int], int], alphabet: int, pseudo: float = 0.5, weight: float = 5.0) -> Callable[[int, int], float]:
+
+def _model(counts: dict[tuple[int, int], int], alphabet: int, pseudo: float = 0.5, weight: float = 5.0) -> Chance:
     """P(y | x), smoothed towards the frequency of y alone, as a function of the pair."""
     after, single, total = {}, {}, sum(counts.values())
     for (x, y), n in counts.items():
@@ -81,19 +109,26 @@ def _model(counts: dict[tuple[int, int], int], alphabet: int, pseudo: float = 0.
     return chance
 
 
-def ratios(random: dict[tuple[int, int], int], ordinary: dict[tuple[int, int], int]) -> list[float]:
+def ratios(random: dict[tuple[int, int], int], words: dict[tuple[int, int], int], named: dict[tuple[int, int], int]) -> list[float]:
     """log P(y | x, random) - log P(y | x, ordinary) for each pair of characters, row by row."""
     codes = range(FIRST, FIRST + SIZE)
-    seen = len({c for pair in (*random, *ordinary) for c in pair}) or 1
-    one, other = _model(random, seen), _model(ordinary, seen)
-    return [math.log(one(x, y) / other(x, y)) for x in codes for y in codes]
+    seen = len({c for pair in (*random, *words, *named) for c in pair}) or 1
+    one, two, three = (_model(x, seen) for x in (random, words, named))
+    share = IDENTIFIER_SHARE if words else 1.0
+    ordinary = lambda x, y: (1 - share) * two(x, y) + share * three(x, y)
+    return [math.log(one(x, y) / ordinary(x, y)) for x in codes for y in codes]
+
+
+def ratio(token: Column, table: list[float]) -> Column:
+    """The log-likelihood ratio of a token, in one walk over its characters."""
+    values = F.split(F.lit(",".join(f"{x:.4f}" for x in table)), ",").cast("array<double>")
 
+    def step(held: Column, c: Column) -> Column:
+        code = F.ascii(c) - FIRST
+        gain = F.when(held["last"] < 0, F.lit(0.0)).otherwise(F.get(values, held["last"] * SIZE + code))
+        return F.struct((held["sum"] + gain).alias("sum"), code.alias("last"))
 
-def mean_ratio(token: Column, table: list[float]) -> Column:
-    values = F.split(F.lit(",".join(f"{x:.5f}" for x in table)), ",").cast("array<double>")
-    code = lambda k: F.ascii(F.substring(token, k, F.lit(1))) - FIRST
-    step = lambda held, k: held + F.get(values, code(k) * SIZE + code(k + 1))
-    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), step) / (F.length(token) - 1)
+    return F.aggregate(F.split(token, ""), F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("last")), step)["sum"]
 
 
 def holds(kind: str, value: Column) -> Column:
@@ -111,41 +146,45 @@ def _named(order: int, kind: str, span: Column) -> Column:
 
 
 def train(docs: DataFrame) -> list[float]:
-    return ratios(bigrams(random_strings(docs.sparkSession)), bigrams(ordinary_words(docs)))
+    spark = docs.sparkSession
+    return ratios(bigrams(random_strings(spark)), bigrams(ordinary_words(docs)), bigrams(identifiers(spark)))
 
 
 def scan(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
-    """``docs``, without ``text``, with n_assign, n_access, n_hex, base_sha256, spans and n_random.
+    """``docs``, without ``text``, with n_assign, n_access, n_hex, base_sha256, spans, n_random and n_found.
 
     Offsets count code points, ends are exclusive. ``spans`` lists by start,
     then kind, the exact spans and those of kind ``random`` that the models
-    add (never over an exact one). A null text counts as empty: no spans and
-    the digest of the empty text. One pass, no shuffle, besides the training
-    on a bounded sample. Equally named columns are replaced; an empty table
-    gives no rows.
+    add (never over an exact one); ``n_found`` counts them all. The models
+    judge runs of 12 or more ASCII letters, digits and ``+/_=-`` with a letter
+    in them; anything else is not judged. A null text counts as empty: no spans and the digest
+    of the empty text. Two passes over the texts, of which the first counts
+    words; only counts of pairs of characters reach the driver. Equally named
+    columns are replaced; an empty table gives no rows.
     """
-    added = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"]
+    added = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random", "n_found"]
     table = train(docs) if table is None else table
     rows = packed(docs, "text").withColumn("_text", text_of())
-    rows = located(rows, "_text", {f"_{k}": p for k, p in BASE.items()} | {"_random": TOKEN})
-    rows = rows.withColumns({f"_{k}": F.filter(f"_{k}", partial(_held, k)) for k in BASE})
-    likely = F.filter("_random", lambda x: x["value"].rlike("[0-9]") & (mean_ratio(x["value"], table) >= THRESHOLD))
-    rows = rows.withColumn("_random", likely)
-    rows = rows.withColumn("_random", apart(F.col("_random"), [F.col(f"_{k}") for k in BASE]))
+    # Where the tokens are matters only in texts that have a random one.
+    random = lambda token: token.rlike("[A-Za-z]") & (ratio(token, table) >= THRESHOLD)
+    suspect = F.exists(F.regexp_extract_all("_text", F.lit(TOKEN), F.lit(0)), random)
+    rows = rows.withColumn("_suspect", F.when(suspect, F.col("_text")).otherwise(""))
+    rows = located(located(rows, "_text", {f"_{k}": p for k, p in BASE.items()}), "_suspect", {"_random": TOKEN})
+    likely = F.filter("_random", lambda x: random(x["value"]))
+    rows = rows.withColumns({f"_{k}": F.filter(f"_{k}", partial(_held, k)) for k in BASE} | {"_random": likely})
+    rows = apart(rows, ["_random"], [f"_{k}" for k in BASE])
 
     def listed(kinds: list[str]) -> Column:
-        parts = [
-            F.transform(f"_{k}", partial(_named, o, k))
-            for o, k in enumerate(kinds)
-        ]
+        parts = [F.transform(f"_{k}", partial(_named, o, k)) for o, k in enumerate(kinds)]
         ordered = F.array_sort(F.concat(*parts))
         return F.array_join(F.transform(ordered, lambda x: F.concat_ws(":", x["k"], x["s"].cast("string"), x["e"].cast("string"))), ",")
 
+    kinds = [*BASE, "random"]
     rows = rows.withColumns(
         {
-            **{f"n_{k}": F.size(f"_{k}").cast("bigint") for k in [*BASE, "random"]},
+            **{f"n_{k}": F.size(f"_{k}").cast("bigint") for k in kinds},
             "base_sha256": F.sha2(listed(list(BASE)).cast("binary"), 256),
-            "spans": listed([*BASE, "random"]),
+            "spans": listed(kinds),
         }
-    )
+    ).withColumn("n_found", sum((F.col(f"n_{k}") for k in kinds), F.lit(0).cast("bigint")))
     return unpacked(rows, [c for c in docs.columns if c != "text"], (), added)

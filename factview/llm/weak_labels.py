@@ -1,13 +1,15 @@
-"""Votes of several labelers aggregated by expectation-maximisation, and a classifier trained on the result.
+"""Votes of several labelers aggregated by expectation-maximisation, and a span classifier trained on the result.
 
-Works on vote patterns with their counts. The number of patterns is bounded by
-the labelers (3 to their number, for each kind), not by the data.
+Works on patterns with their counts. The number of patterns is bounded by the
+labelers (3 to their number) and the classes of the features, not by the data.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+
 Pattern = tuple[int, ...]
 
 
@@ -17,43 +19,41 @@ def posteriors(counts: dict[Pattern, float], steps: int = 50, prior: float = 0.5
     Each labeler has a rate of voting for, among the votes it casts, for real
     and for false candidates. The rates start from trusting the votes and are
     re-estimated from the posteriors, with pseudo-counts; a vote not cast says
-    nothing.
+    nothing. Patterns are taken in order, so that equal counts give equal results.
     """
     if not counts:
         return {}
-    n = len(next(iter(counts)))
-    rate = {1: [0.8] * n, 0: [0.2] * n}
+    patterns = sorted(counts)
+    votes, held = np.array(patterns, dtype=float), np.array([counts[p] for p in patterns])
+    yes, no = votes > 0, votes < 0
+    rate = {1: np.full(votes.shape[1], 0.8), 0: np.full(votes.shape[1], 0.2)}
     real = prior
-    out: dict[Pattern, float] = {}
     for _ in range(steps):
-        for p in counts:
-            odds = math.log(real / (1 - real))
-            for k, v in enumerate(p):
-                if v:
-                    yes, no = (rate[1][k], rate[0][k]) if v > 0 else (1 - rate[1][k], 1 - rate[0][k])
-                    odds += math.log(yes / no)
-            out[p] = 1 / (1 + math.exp(-max(-700.0, odds)))
-        real = min(0.95, max(0.05, (1 + sum(c * out[p] for p, c in counts.items())) / (2 + sum(counts.values()))))
-        for which in (1, 0):
-            share = {p: c * (out[p] if which else 1 - out[p]) for p, c in counts.items()}
-            for k in range(n):
-                votes_for = sum(m for p, m in share.items() if p[k] > 0)
-                cast = sum(m for p, m in share.items() if p[k])
-                rate[which][k] = ((8 if which else 2) + votes_for) / (10 + cast)
-    return out
-
-
-def classifier(counts: dict[Pattern, float], real: dict[Pattern, float], steps: int = 500, pace: float = 0.5) -> list[float]:
-    """Weights (bias first) of a logistic model of the posteriors, by gradient descent on the counted patterns."""
-    n = len(next(iter(counts))) if counts else 0
-    weights = [0.0] * (n + 1)
-    total = sum(counts.values()) or 1
+        odds = math.log(real / (1 - real)) + yes @ np.log(rate[1] / rate[0]) + no @ np.log((1 - rate[1]) / (1 - rate[0]))
+        out = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+        real = min(0.95, max(0.05, (1 + held @ out) / (2 + held.sum())))
+        for which, share in ((1, held * out), (0, held * (1 - out))):
+            rate[which] = ((8 if which else 2) + share @ yes) / (10 + share @ (yes | no))
+    return {p: float(x) for p, x in zip(patterns, out, strict=True)}
+
+
+def classifier(examples: list[tuple[Pattern, float, float]], classes: list[int], steps: int = 400, pace: float = 2.0) -> list[list[float]]:
+    """Weights for each class of each feature, of a logistic model of (classes, count, probability) by gradient descent.
+
+    ``classes`` has the number of classes of each feature; the sum of the
+    weights of a span's classes is its log-odds. No examples give zeros.
+    """
+    if not examples:
+        return [[0.0] * n for n in classes]
+    rows = sorted(examples)
+    ends = np.cumsum([0, *classes])
+    held = np.array([c for _, c, _ in rows]) / sum(c for _, c, _ in rows)
+    real = np.array([r for _, _, r in rows])
+    x = np.zeros((len(rows), ends[-1]))
+    for k, (pattern, _, _) in enumerate(rows):
+        x[k, ends[:-1] + np.array(pattern)] = 1
+    weights = np.zeros(ends[-1])
     for _ in range(steps):
-        slope = [0.001 * w for w in weights]
-        for p, c in counts.items():
-            x = (1, *p)
-            guess = 1 / (1 + math.exp(-max(-700.0, sum(w * v for w, v in zip(weights, x, strict=True)))))
-            for k, v in enumerate(x):
-                slope[k] += c / total * (guess - real[p]) * v
-        weights = [w - pace * s for w, s in zip(weights, slope, strict=True)]
-    return weights
+        guess = 1 / (1 + np.exp(-np.clip(x @ weights, -700, 700)))
+        weights -= pace * (x.T @ (held * (guess - real)) + 1e-4 * weights)
+    return [weights[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)]

@@ -1,11 +1,15 @@
 """Personal data and secrets against plain Python patterns."""
 
+import base64
 import hashlib
+import random
 import re
+import string
+import time
 
 import pytest
 
-from factview.llm import pii, secret_scan, weak_labels
+from factview.llm import pii, secret_scan, spans, weak_labels
 
 TEXTS = [
     None,
@@ -132,6 +136,78 @@ def test_expectation_maximisation_trusts_agreeing_labelers():
     counts = {(1, 1, 1): 40.0, (1, 1, -1): 10.0, (-1, -1, 1): 10.0, (-1, -1, -1): 40.0}
     real = weak_labels.posteriors(counts)
     assert real[(1, 1, -1)] > 0.8 and real[(-1, -1, 1)] < 0.2
-    weights = weak_labels.classifier(counts, real)
-    assert weights[1] > 0 and weights[2] > 0
-    assert weak_labels.posteriors({}) == {}
+    examples = [(tuple((v + 1) // 2 for v in p), counts[p], real[p]) for p in counts]
+    weights = weak_labels.classifier(examples, [2, 2, 2])
+    assert weights[0][1] > weights[0][0] and weights[1][1] > weights[1][0]
+    assert weak_labels.posteriors({}) == {} and weak_labels.classifier([], [2, 1]) == [[0.0, 0.0], [0.0]]
+
+
+def planted(n=400):
+    """Texts with looser personal data, and with look-alikes that are none; each with the span's place."""
+    rng, out = random.Random(11), []
+    for k in range(n):
+        local = f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+        ssn = f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"
+        real = [f"please call {local} today", f"my ssn is {ssn} as said", f"write to j.doe{k} (at) mail (dot) org soon", f"phone: {local}, thanks"][k % 4]
+        false = [f"part number x{local}z of it", f"order {rng.randint(900, 999)}-00-{rng.randint(1000, 9999)}x list", f"release v{local}b", f"serial /000-{rng.randint(10, 99)}-0000_ page"][k % 4]
+        out += [(real, True), (false, False)]
+    return out
+
+
+def test_added_spans_have_precision_and_recall(spark):
+    rows = planted()
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r["n_found"] > 0 for r in pii.detect(docs).collect()}
+    right = sum(found[k] for k, (_, real) in enumerate(rows) if real)
+    wrong = sum(found[k] for k, (_, real) in enumerate(rows) if not real)
+    total = sum(real for _, real in rows)
+    assert right / total >= 0.9 and right / (right + wrong) >= 0.9
+
+
+def plain_apart(own, others):
+    return [x for x in own if not any(x[0] < y[1] and y[0] < x[1] for y in others)]
+
+
+def test_spans_apart_from_others(spark):
+    rng, rows = random.Random(5), []
+    for _ in range(60):
+        make = lambda: sorted({(a, a + rng.randint(1, 6)) for a in rng.sample(range(90), rng.choice([0, 1, 3, 12]))})  # noqa: E731, B023
+        own, one, two = ([(a, b, "x") for a, b in make()] for _ in range(3))
+        rows.append((own, one, two))
+    span = "array<struct<start:int,end:int,value:string>>"
+    frame = spark.createDataFrame(rows, f"own {span}, one {span}, two {span}").selectExpr("*", "own AS was")
+    for r in spans.apart(frame, ["own"], ["one", "two"]).collect():
+        assert [tuple(x) for x in r["own"]] == plain_apart([tuple(x) for x in r["was"]], [tuple(x) for x in r["one"] + r["two"]])
+
+
+def test_tokens_by_brute_force(spark):
+    """Spans of kind random against the same models in plain Python; precision and recall on tokens not trained on."""
+    rng = random.Random(8)
+    words = ["configuration_parameters", "internationalisation", "understanding-of-things", "counterproductive", "documentation/generator"]
+    letters = string.ascii_letters + string.digits
+    tokens = [("".join(rng.choice(letters) for _ in range(rng.randint(16, 40))), True) for _ in range(300)]
+    tokens += [(rng.choice([f"report-20{rng.randint(10, 25)}-0{rng.randint(1, 9)}-final", f"IndexTable{rng.randint(1, 999)}", f"server_build_v{rng.randint(1, 30)}_{rng.randint(1, 9)}", rng.choice(words)]), False) for _ in range(300)]
+    docs = spark.createDataFrame([(k, f"ä see {t}, and {rng.choice(words)}.") for k, (t, _) in enumerate(tokens)], "doc_id long, text string")
+    table = secret_scan.train(docs)
+    rows = {r["doc_id"]: r for r in secret_scan.scan(docs, table).collect()}
+    score = lambda t: sum(table[(ord(a) - 32) * 96 + ord(b) - 32] for a, b in zip(t, t[1:], strict=False))
+    for k, (t, _) in enumerate(tokens):
+        base = bool(plain_secrets(f"see {t},"))
+        want = not base and len(t) >= 12 and score(t) >= secret_scan.THRESHOLD + 1e-6
+        if abs(score(t) - secret_scan.THRESHOLD) > 1e-2:
+            assert (rows[k]["spans"] == f"random:6:{6 + len(t)}") == want or base, t
+    right = sum(rows[k]["n_found"] > 0 for k, (_, secret) in enumerate(tokens) if secret)
+    wrong = sum(rows[k]["n_found"] > 0 for k, (_, secret) in enumerate(tokens) if not secret)
+    assert right >= 0.95 * 300 and wrong <= 0.02 * 300
+
+
+def test_many_matches_and_long_tokens_take_linear_time(spark):
+    many = "12 " * 200_000 + "555-12-3456 " * 50_000 + "a@b.cd " * 50_000
+    blob = base64.b64encode(random.Random(1).randbytes(750_000)).decode()
+    docs = spark.createDataFrame([(1, many), (2, "x " + blob)], "doc_id long, text string")
+    began = time.time()
+    rows = {r["doc_id"]: r for r in pii.detect(docs).collect()}
+    assert rows[1]["n_email"] == 50_000
+    found = {r["doc_id"]: r for r in secret_scan.scan(docs).collect()}
+    assert found[2]["n_random"] == 1 and found[2]["spans"] == f"random:2:{2 + len(blob)}"
+    assert time.time() - began < 60

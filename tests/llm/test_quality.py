@@ -28,6 +28,12 @@ def plain_counts(text):
     }
 
 
+def plain_classes(text):
+    some = [len(re.findall(f"[{c}]", text)) for c in quality_rules.CHARACTER_CLASSES.values()]
+    words = len(re.sub(r"[\x20\x09-\x0D]", "", text))
+    return [len(text) - words, *some, words - sum(some)]
+
+
 def good_text(rng, n=120):
     return " ".join(rng.choice(["the", "of", "and", "to", "in", "is"]) if rng.random() < 0.4 else "".join(rng.choice("abcdefghilmnoprstu") for _ in range(6)) for _ in range(n)).capitalize() + "."
 
@@ -55,13 +61,22 @@ def test_counts_and_distances(spark):
     out = quality_rules.judge(frame)
     rows = out.collect()
     assert len(rows) == len(docs) and set(frame.columns) <= set(out.columns)
-    found = quality_rules.references(frame)
+    sums = quality_rules.references(quality_rules.counted(frame.drop("source", "kept"))).collect()
+    found = {r["_lang"]: (r["_r_classes"], r["_r_common"]) for r in sums}
     for r in rows:
         want = plain_counts(r["text"])
         assert {k: r[k] for k in want} == want, r["doc_id"]
         if r["lang"] == "en" and r["n_words"] >= quality_rules.MIN_WORDS:
             listed = [sum(w.lower() == x for w in re.split(r"[\x20\x09-\x0D]+", r["text"])) for x in quality_rules.COMMON_WORDS["en"]]
-            assert abs(r["js_words"] - js([*listed, r["n_words"] - sum(listed)], found["en"][1])) < 1e-9
+            assert abs(r["js_words"] - js([*listed, r["n_words"] - sum(listed)], found["en"][1])) < 1e-8
+        lang = r["lang"] if r["lang"] in quality_rules.COMMON_WORDS else "other"
+        near = True
+        if r["n_words"] >= quality_rules.MIN_WORDS:
+            distance = js(plain_classes(r["text"]), found[lang][0])
+            assert abs(r["js_characters"] - distance) < 1e-8
+            root = math.sqrt(r["n_words"])
+            near = distance <= 0.14 + 1.0 / root and r["js_words"] <= 0.115 + 1.2 / root
+        assert r["kept"] == (not want["base_failed"] and near)
         assert not (r["base_failed"] and r["kept"])
     kept = {r["doc_id"] for r in rows if r["kept"]}
     assert set(range(80)) <= kept and {108, 110, None} <= kept
