@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 #: White space of the word definition: space and U+0009 to U+000D, nothing else.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
-#: Rows that a side of a join may have, after counting, to be broadcast (a few numbers each: about 10 MB).
-BROADCAST_ROWS = 250_000
+#: Rows that a side of a join may have, after counting, to be broadcast (a few numbers each: about 2 MB).
+BROADCAST_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,8 +79,30 @@ def stored(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """
     spark, path = df.sparkSession, work_dir(df.sparkSession)
     df.write.option("compression", compression).parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    _PATHS[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+#: Stored tables that are still there.
+_PATHS: dict[str, SparkSession] = {}
+
+
+def _remove_all() -> None:
+    for path, spark in list(_PATHS.items()):
+        _remove(spark, path)
+
+
+atexit.register(_remove_all)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more; what follows them must be stored or checkpointed itself."""
+    for df in tables:
+        path = getattr(df, "_stored_at", None)
+        if path in _PATHS:
+            _remove(_PATHS.pop(path), path)
 
 
 def checked(df: DataFrame) -> DataFrame:
