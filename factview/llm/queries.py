@@ -98,21 +98,22 @@ WORDS_SQL = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _GRAMS = "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))"
+_SETS = f"CASE WHEN len(w) >= 5 THEN {_GRAMS} ELSE [array_to_string(w, ' ')] END"
 OP1_SQL = f"""
     WITH i AS (SELECT item_id, {WORDS_SQL.format("lower(coalesce(text, ''))")} AS w FROM benchmark),
-    g AS (SELECT item_id, len(w) AS n, list_distinct({_GRAMS}) AS g FROM i WHERE len(w) >= 5),
+    g AS (SELECT item_id, len(w) AS n, list_distinct({_SETS}) AS g FROM i WHERE len(w) > 0),
     e AS (SELECT item_id, n, unnest(g) AS s FROM g),
     wt AS (SELECT s, 1.0::DOUBLE / count(*) AS weight FROM e GROUP BY s),
     t AS (SELECT item_id, sum(weight) AS total FROM e JOIN wt USING (s) GROUP BY item_id),
     d AS (SELECT doc_id, {WORDS_SQL.format("lower(coalesce(text, ''))")} AS w FROM documents),
-    h AS (SELECT doc_id, {_GRAMS} AS h FROM d WHERE len(w) >= 5),
+    h AS (SELECT doc_id, {_SETS} AS h FROM d WHERE len(w) > 0),
     p AS (SELECT doc_id, unnest(h) AS s, generate_subscripts(h, 1) - 1 AS p FROM h),
     a AS (SELECT DISTINCT doc_id, item_id, n, p FROM p JOIN e USING (s)),
     st AS (
-        SELECT DISTINCT doc_id, item_id, a.n, unnest(range(greatest(p - a.n + 5, 0), least(p, greatest(len(h) + 4 - a.n, 0)) + 1)) AS st
+        SELECT DISTINCT doc_id, item_id, a.n, unnest(range(greatest(p - a.n + least(a.n, 5), 0), least(p, greatest(len(h) + 4 - a.n, 0)) + 1)) AS st
         FROM a JOIN h USING (doc_id)
     ),
-    v AS (SELECT doc_id, item_id, st, list_distinct(h[st + 1:st + st.n - 4]) AS v, g FROM st JOIN h USING (doc_id) JOIN g USING (item_id)),
+    v AS (SELECT doc_id, item_id, st, list_distinct(h[st + 1:st + greatest(st.n - 4, 1)]) AS v, g FROM st JOIN h USING (doc_id) JOIN g USING (item_id)),
     x AS (SELECT doc_id, item_id, st, len(v) AS nv, unnest(list_intersect(v, g)) AS s FROM v),
     y AS (SELECT doc_id, item_id, st, nv, count(*) AS k, sum(weight) AS inside FROM x JOIN wt USING (s) GROUP BY ALL),
     z AS (SELECT doc_id, item_id, st, inside / (total + nv - k) AS similarity FROM y JOIN t USING (item_id)),

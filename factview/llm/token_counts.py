@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from factview.llm.common import packed, slices, text_of, unpacked
 
 #: Characters of a chunk, of the first overlap, and from which on a text is encoded in chunks.
-CHUNK = 100_000
+CHUNK = 10_000
 OVERLAP = 500
-HUGE = 200_000
+HUGE = 20_000
 #: Characters encoded in one call, which bounds the memory of an Arrow batch's ids.
 CALL = 500_000
 #: The model's mark for a space; a text may also contain it.
@@ -100,13 +100,12 @@ def encode(text: str, path: str, chunk: int = CHUNK, overlap: int = OVERLAP, hug
 
 
 def counts(texts: list[str], path: str) -> list[int]:
-    out: list[int] = []
-    for a, b in slices([len(t) for t in texts], CALL):
-        some = texts[a:b]
-        if len(some) == 1 and len(some[0]) > HUGE:
-            out.append(len(encode(some[0], path)))
-        else:
-            out += [len(x) for x in model(path).encode(some, num_threads=1)]
+    """Each text's number of ids: huge ones by chunks, one by one, the others together."""
+    out = [len(encode(t, path)) if len(t) > HUGE else 0 for t in texts]
+    short = [k for k, t in enumerate(texts) if len(t) <= HUGE]
+    for a, b in slices([len(texts[k]) for k in short], CALL):
+        for k, ids in zip(short[a:b], model(path).encode([texts[k] for k in short[a:b]], num_threads=1), strict=True):
+            out[k] = len(ids)
     return out
 
 

@@ -13,7 +13,7 @@ def tokens(text):
 
 
 def grams(w):
-    return [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+    return [tuple(w[k : k + 5]) for k in range(len(w) - 4)] or ([tuple(w)] if w else [])
 
 
 def plain(docs, bench, percent=75):
@@ -21,7 +21,7 @@ def plain(docs, bench, percent=75):
     sets, share = {}, {}
     for item, text in bench:
         w = tokens(text)
-        if len(w) >= 5:
+        if w:
             sets[item] = (len(w), set(grams(w)))
             for g in set(grams(w)):
                 share[g] = share.get(g, 0) + 1
@@ -31,8 +31,8 @@ def plain(docs, bench, percent=75):
         for item, (n, g) in sets.items():
             if not g & set(w):
                 continue
-            for s in range(max(1, len(w) - (n - 5))):
-                v = set(w[s : s + n - 4])
+            for s in range(max(1, len(w) - max(n - 5, 0))):
+                v = set(w[s : s + max(n - 4, 1)])
                 both = sum(1 / share[x] for x in v & g)
                 union = sum(1 / share[x] for x in g) + len(v - g)
                 if both / union >= percent / 100 - 1e-9:
@@ -46,7 +46,7 @@ def data():
     word = lambda: "".join(rng.choice(["an", "the", "or", "in", "st", "re", "ö", "ou"]) for _ in range(rng.randint(1, 4)))
     some = lambda n: [word() for _ in range(n)]
     bench = [(k, " ".join(some(rng.randint(12, 60)))) for k in range(25)]
-    bench += [(25, "too short"), (26, None), (27, ""), (28, bench[3][1]), (29, bench[4][1] + " and a little more of it")]
+    bench += [(None, " ".join(some(30))), (25, "too short"), (26, None), (27, ""), (28, bench[3][1]), (29, bench[4][1] + " and a little more of it")]
     docs = []
     for k in range(240):
         w = some(rng.randint(20, 300))
@@ -59,7 +59,7 @@ def data():
             at = rng.randrange(len(w))
             w[at:at] = passage
         docs.append((k, (" ", "\n", "\t ")[k % 3].join(w)))
-    docs += [(240, None), (241, ""), (242, bench[0][1]), (242, bench[0][1]), (243, " ".join(tokens(bench[1][1])[:30])), (244, "too short")]
+    docs += [(240, None), (241, ""), (242, bench[0][1]), (242, bench[0][1]), (243, " ".join(tokens(bench[1][1])[:30])), (244, "Too\nshort"), (246, "this is too short to matter"), (247, bench[25][1])]
     docs += [(245, " ".join(some(3000) + tokens(bench[2][1]) + some(20)))]
     return docs, bench
 
@@ -86,6 +86,14 @@ def test_clean_keeps_everything_else(spark, data):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out.collect()) == sorted([(False, d) for d, _ in docs if d not in bad] + [(True, 0)])
 
 
+def test_ids_of_text(spark, data):
+    docs, bench = data
+    frame = spark.createDataFrame([(f"d{d}", t) for d, t in docs[:60]], "doc_id string, text string")
+    rows = decontaminate.matches(frame, spark.createDataFrame([(f"i{i}", t) for i, t in bench], "item_id string, text string")).collect()
+    want = plain([(f"d{d}", t) for d, t in docs[:60]], [(f"i{i}", t) for i, t in bench])
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == want.keys() != set()
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -118,3 +118,14 @@ def test_placement(spark):
     assert max(shares) < 1.15 * min(shares)
     assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
     assert sharding.place(frame.where("false"), frame["doc_id"]).count() == 0
+
+
+def test_long_texts_of_a_batch_go_through_chunks(monkeypatch):
+    """Texts above the switch are spliced, also among others in one call; the longest of the tables are five times as long."""
+    rng, spliced = random.Random(6), []
+    own = token_counts._common
+    monkeypatch.setattr(token_counts, "_common", lambda *a: spliced.append(1) or own(*a))
+    texts = [" ".join("".join(rng.choice("abcdefghij 	é") for _ in range(rng.randint(1, 12))) for _ in range(n)) for n in (10, 6000, 0, 40, 9000)]
+    whole = [len(x) for x in token_counts.model(PIECES).encode(texts)]
+    assert sum(len(t) > token_counts.HUGE for t in texts) == 2
+    assert token_counts.counts(texts, PIECES) == whole and len(spliced) >= 2
