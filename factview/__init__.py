@@ -7,7 +7,7 @@ so that any number of datasets change together or not at all.
 """
 
 from factview.plans.manifest import load_manifest, load_manifests
-from factview.plans.relations import Edge, Entity, JoinGraph, graph_from_spec
+from factview.plans.relations import KeyGraph, graph_from_spec, reference
 from factview.store.snapshot import Store, open_store
 
-__all__ = ["Edge", "Entity", "JoinGraph", "Store", "graph_from_spec", "load_manifest", "load_manifests", "open_store"]
+__all__ = ["KeyGraph", "Store", "graph_from_spec", "load_manifest", "load_manifests", "open_store", "reference"]

@@ -27,13 +27,17 @@ def write_folder(df: DataFrame, path: str, *, compression: str = "zstd", max_rec
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
-def write_file(df: DataFrame, path: str | Path, *, compression: str = "zstd", row_group_bytes: int | None = None) -> int:
-    """One Parquet file, put in place by a rename; for results that fit one file. The number of its rows."""
+def write_file(df: DataFrame, path: str | Path, *, compression: str = "zstd", row_group_bytes: int | None = None, ordered: bool = False) -> int:
+    """One Parquet file, put in place by a rename; for results that fit one file. The number of its rows.
+
+    Rows are made by many tasks and written by one, which keeps their order if
+    they are ``ordered``.
+    """
     path = Path(path)
     path.parent.mkdir(parents=True, exist_ok=True)
     beside = path.parent / f".{path.name}.{uuid.uuid4().hex}"
     try:
-        writer = df.coalesce(1).write.option("compression", compression)
+        writer = (df.coalesce(1) if ordered else df.repartition(1)).write.option("compression", compression)
         if row_group_bytes:
             writer = writer.option("parquet.block.size", row_group_bytes)
         writer.parquet(str(beside))
@@ -49,7 +53,7 @@ def write_components(dataset: ContourDataset, facts: DataFrame, contour: DataFra
     """Compact facts and contours as files of reproducible bytes (totally ordered)."""
     out = Path(directory)
     return {
-        name: write_file(total_order(df, first), out / f"{name}.parquet")
+        name: write_file(total_order(df, first), out / f"{name}.parquet", ordered=True)
         for name, df, first in (
             (dataset.compact_table, compact(facts, dataset), dataset.fact_join_columns),
             (dataset.contour_table, contours(contour, dataset), dataset.contour_join_columns),

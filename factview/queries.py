@@ -84,7 +84,10 @@ def _home_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _store(spark: SparkSession):
     """A store of its own for one query, in the shared folder where one is named."""
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    local = base.removeprefix("file:") if base and base.startswith("file:") else None
+    master = spark.sparkContext.master
+    local = base.removeprefix("file:") if base and (base.startswith("file:") or "://" not in base) else None
+    if local is None and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise RuntimeError("spark.checkpoint.dir must name a POSIX folder that the driver and all executors share")
     return open_store(spark, tempfile.mkdtemp(prefix="factview-store-", dir="/" + local.lstrip("/") if local else None))
 
 

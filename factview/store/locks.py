@@ -27,6 +27,11 @@ def lock_timeout(given: str | float | None = None) -> float | None:
     return seconds(given if given is not None else os.environ.get("FACTVIEW_LOCK_TIMEOUT"))
 
 
+def retention_seconds() -> float:
+    """How long a folder that nothing names any more stays: FACTVIEW_RETENTION (a number counts milliseconds), else a day."""
+    return seconds(os.environ.get("FACTVIEW_RETENTION")) or 86_400.0
+
+
 def keeps_old(given: bool | None = None) -> bool:
     return given if given is not None else os.environ.get("FACTVIEW_KEEP_OLD", "").strip().lower() in ("1", "on", "true", "yes")
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import shutil
+import time
 import uuid
 from collections.abc import Mapping
 from copy import deepcopy
@@ -28,6 +29,7 @@ from factview.functions.names import require_identifiers
 from factview.plans.manifest import ComponentDataset, ContourDataset, load_manifest
 from factview.plans.views import contour_plan, view_plan
 from factview.sources import TableSource
+from factview.store.locks import held, retention_seconds
 
 EMPTY: dict[str, Any] = {
     "generation": 0,
@@ -137,7 +139,7 @@ class Store:
     @staticmethod
     def locations(relation: Mapping[str, Any]) -> list[str]:
         if "location" in relation:
-            return [relation["location"]]
+            return [*relation.get("earlier", ()), relation["location"]]
         return [p["location"] for p in relation["view"]["pins"].values()]
 
     def published(self, kind: str, name: str, snapshot: dict[str, Any] | None = None) -> dict[str, Any] | None:
@@ -165,7 +167,7 @@ class Store:
     def plan(self, relation: Mapping[str, Any]) -> DataFrame:
         """A relation's rows: of its folder, or of its view over the versions that it pins."""
         if "location" in relation:
-            return self.spark.read.parquet(relation["location"])
+            return self.spark.read.parquet(*self.locations(relation))
         view = relation["view"]
         dataset = load_manifest(view["manifest"])
         pins = {n: self.spark.read.parquet(p["location"]) for n, p in view["pins"].items()}
@@ -197,17 +199,32 @@ class Store:
         marker = snapshot["markers"]["table"].get(table)
         if marker is None:
             raise LookupError(f"table {table!r} is not published")
-        return TableSource(table, self.find(table, PUBLIC, snapshot)["location"], marker["update_id"])
+        return TableSource(table, tuple(self.locations(self.find(table, PUBLIC, snapshot))), marker["update_id"])
 
     # Cleaning
 
-    def collect_garbage(self) -> list[str]:
-        """Removes version folders that neither the snapshot nor a staged marker names; returns them."""
-        snapshot = self.snapshot()
-        used = {x for r in (*snapshot["relations"].values(), *(k["relation"] for k in snapshot["kept"].values())) for x in self.locations(r)}
-        for path in (self.root / "staged").glob("*/*.json"):
-            used |= {*self.locations(json.loads(path.read_text())["relation"])}
-        gone = [str(p) for p in (self.root / "data").glob("*/*/*") if p.is_dir() and str(p) not in used]
+    def collect_garbage(self, retention: float | None = None) -> list[str]:
+        """Removes version folders that nothing has named for ``retention`` seconds; returns them.
+
+        A folder is first only noted as unnamed. It goes when a later call
+        finds it noted, and untouched, for long enough: jobs that are still
+        staging and readers of the version before keep theirs. With 0 it goes
+        at once, which is for stores that nobody else uses at the time.
+        """
+        keep = retention_seconds() if retention is None else retention
+        with held(self.publish_lock):
+            snapshot, clock = self.snapshot(), time.time()
+            used = {x for r in (*snapshot["relations"].values(), *(k["relation"] for k in snapshot["kept"].values())) for x in self.locations(r)}
+            for path in (self.root / "staged").glob("*/*.json"):
+                used |= {*self.locations(json.loads(path.read_text())["relation"])}
+            unnamed = {str(p): p for p in (self.root / "data").glob("*/*/*") if p.is_dir() and str(p) not in used}
+            noted = self.root / "unnamed.json"
+            since = json.loads(noted.read_text()) if noted.exists() else {}
+            since = {path: since.get(path, clock) for path in unnamed}
+            touched = {path: max(x.stat().st_mtime for x in (p, *p.iterdir())) if keep else 0.0 for path, p in unnamed.items()}
+            gone = [path for path in unnamed if clock - max(since[path], touched[path]) >= keep]
+            if unnamed or noted.exists():
+                write_atomically(noted, json.dumps({k: v for k, v in since.items() if k not in gone}, sort_keys=True))
         for path in gone:
             shutil.rmtree(path, ignore_errors=True)
         return gone

@@ -19,11 +19,12 @@ from factview.store.locks import held
 from factview.store.snapshot import PUBLIC, Receipt, Staged, Store, write_atomically
 
 
-def _stage(store: Store, kind: str, name: str, schema: str, update_id: str, write: Callable[[str], tuple[DataFrame | None, dict[str, Any]]], marker: Mapping[str, Any]) -> Staged:
+def _stage(store: Store, kind: str, name: str, schema: str, update_id: str, write: Callable[[str], tuple[DataFrame | None, dict[str, Any]]], marker: Mapping[str, Any], before: Mapping[str, Any] | None = None) -> Staged:
     """Current if it is live and whole, staged if it was written before, else written now.
 
     ``write`` makes the rows of a location and tells what the relation's
     record holds; the marker file comes last, so a crash leaves nothing that counts.
+    With ``before``, a relation, what is written comes after its folders.
     """
     with held(store.stage_lock(kind, name)):
         snapshot = store.snapshot()
@@ -38,6 +39,9 @@ def _stage(store: Store, kind: str, name: str, schema: str, update_id: str, writ
             df, more = write(location)
             rows = write_folder(df, location)
             relation = {"kind": "table", "location": location, "columns": [list(c) for c in describe(df)], "rows": rows}
+            if before:
+                rows += before["rows"]
+                relation |= {"earlier": store.locations(before), "rows": rows}
             found = {"update_id": update_id, "relation": relation, "marker": {**marker, **more, "update_id": update_id, "row_count": rows, "loader_version": ids.LOADER_VERSION, "type_map_version": ids.TYPE_MAP_VERSION}}
             write_atomically(store.staged_path(kind, name), json.dumps(found, sort_keys=True))
         return Staged(kind, name, schema, update_id, "staged", expected, found["relation"], found["marker"])
@@ -56,6 +60,25 @@ def stage_table(store: Store, table: str, source: Any, extra: Mapping[str, Any]
     return Receipt("table", table, update_id, one.status, (one,))
 
 
+def stage_append(store: Store, table: str, batch: DataFrame, number: int) -> Receipt:
+    """A plain table with a numbered batch after what is published of it; only the batch is read and written.
+
+    Batches have the table's columns. The version is named by the one before
+    and the number, so that a batch staged again is found.
+    """
+    snapshot = store.snapshot()
+    live = store.published("table", table, snapshot)
+    before = snapshot["relations"][f"{PUBLIC}.{table}"] if live else None
+    rows = for_table(batch)
+    if before and [list(c) for c in describe(rows)] != before["columns"]:
+        raise ValueError(f"table {table!r} has columns {before['columns']}, not {describe(rows)}")
+    nulls = live.get("null_counts", {}) if live else {}
+    write = lambda _: (rows, {"null_counts": {c: n + nulls.get(c, 0) for c, n in statistics(rows)[1].items()}})
+    update_id = ids.table_id(table, live["update_id"] if live else "", {"batch": number})
+    one = _stage(store, "table", table, PUBLIC, update_id, write, {"batch": number}, before)
+    return Receipt("table", table, update_id, one.status, (one,))
+
+
 def is_current(store: Store, table: str, source: Any, extra: Mapping[str, Any] | None = None) -> bool:
     """Whether a table's marker and rows are what staging would give; reads only."""
     live, snapshot = store.published("table", table), store.snapshot()
@@ -105,13 +128,14 @@ def stage_contour_dataset(store: Store, dataset: ContourDataset, facts: Any, con
     return Receipt("contour_dataset", dataset.name, update_id, whole, tuple(objects))
 
 
-def stage_component(store: Store, one: Component, schema: str, source: Any) -> Staged:
-    """One component; its key is checked before anything is written."""
-    sha = identity(store.spark, source)
+def stage_component(store: Store, one: Component, schema: str, source: Any, sha: str | None = None, checked: bool = False) -> Staged:
+    """One component; its key is checked before anything is written, unless it was."""
+    sha = sha or identity(store.spark, source)
 
     def write(location: str) -> tuple[DataFrame, dict[str, Any]]:
         rows = resolve(store.spark, source)
-        checks.check_component(rows, one)
+        if not checked:
+            checks.check_component(rows, one)
         return for_component(normalize.component(rows, one)), {}
 
     return _stage(store, "component", one.name, schema, ids.component_id(one, sha), write, {"source_sha": sha, "schema": schema})
@@ -121,7 +145,8 @@ def stage_component_dataset(store: Store, dataset: ComponentDataset, sources: Ma
     """All components and the view. Columns, keys and orphans are checked before any write."""
     spark = store.spark
     given = {c.name: store.table_source(c.source_table) if c.source_table else sources[c.source_key] for c in dataset.components}
-    pinned = {c.name: ids.component_id(c, identity(spark, given[c.name])) for c in dataset.components}
+    found = {c.name: identity(spark, given[c.name]) for c in dataset.components}
+    pinned = {c.name: ids.component_id(c, found[c.name]) for c in dataset.components}
     update_id = ids.component_dataset_id(dataset, pinned)
     kind = "materialized" if dataset.materialize == "materialized" else "view"
     status, expected = _status(store, dataset, update_id, kind)
@@ -130,7 +155,7 @@ def stage_component_dataset(store: Store, dataset: ComponentDataset, sources: Ma
         for one in dataset.components:
             checks.check_component(frames[one.name], one)
         checks.check_joins(dataset, {c.name: normalize.component(frames[c.name], c) for c in dataset.components})
-    objects = {c.name: stage_component(store, c, dataset.schema_of(c), given[c.name]) for c in dataset.components}
+    objects = {c.name: stage_component(store, c, dataset.schema_of(c), given[c.name], found[c.name], status != "current") for c in dataset.components}
     components = {n: s.update_id for n, s in objects.items()}
     frames = {n: spark.read.parquet(s.relation["location"]) for n, s in objects.items()}
     plan = view_plan(spark, dataset, frames)

@@ -1,7 +1,8 @@
 """Publishing a table from a stream of files.
 
-Each micro-batch is appended to what is published and the union is published
-as a new version, so that readers see whole batches only. A batch that is
+A version of the table is a list of folders. Each micro-batch is written to a
+folder of its own, which the next version has after those before, so that
+readers see whole batches only and nothing is written twice. A batch that is
 replayed after a failure is recognised by its number and skipped.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from factview.store.publishing import publish
 from factview.store.snapshot import Store
-from factview.store.staging import stage_table
+from factview.store.staging import stage_append
 
 
 def publish_stream(store: Store, table: str, folder: str, schema: StructType | str, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
@@ -23,10 +24,7 @@ def publish_stream(store: Store, table: str, folder: str, schema: StructType | s
         live = store.published("table", table)
         if live and live.get("batch", -1) >= number:
             return
-        rows = batch if live is None else store.read(table).unionByName(batch)
-        receipt = stage_table(store, table, rows, {"batch": number, "checkpoint": checkpoint})
-        receipt.objects[0].marker["batch"] = number
-        publish(store, [receipt])
+        publish(store, [stage_append(store, table, batch, number)])
 
     files = store.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
     return files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

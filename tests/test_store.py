@@ -1,6 +1,7 @@
 """Staging and publishing: what is visible when, and what is refused."""
 
 import json
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -16,13 +17,13 @@ from factview.store.publishing import materialize, publish
 from factview.store.reconcile import prune, reconcile
 from factview.store.snapshot import Receipt, make_store, open_store
 from factview.store.staging import is_current, stage, stage_table
+from factview.streaming.feed import publish_stream
 
 CONTOURS = {"name": "zones_view", "contour_table": "shapes", "contour_source": "contours", "fact_source": "facts", "geometry_column": "polygon coords", "fact_join_columns": ["zone id"], "contour_join_columns": ["zone id"], "output_columns": ["zone id", "metric", "polygon coords"]}
-BRIDGE_SQL = """
-    SELECT obs_id, path, metric FROM (
-        SELECT f.obs_id, s.path, s.metric, row_number() OVER (PARTITION BY f.obs_id, s.path ORDER BY b.priority) AS rn
-        FROM {flows} f JOIN {bridge} b ON f.anchor = b.anchor JOIN {paths} s ON s.region = f.region AND s.code = b.code
-    ) ranked WHERE rn = 1
+#: The depot of first choice for each order, with its stock of the goods.
+DEPOT_SQL = """
+    WITH options AS (SELECT o.no, o.goods, c.depot, row_number() OVER (PARTITION BY o.no ORDER BY c.rank) AS choice FROM {orders} o JOIN {choices} c USING (town))
+    SELECT no, depot, stock FROM options JOIN {depots} USING (depot, goods) WHERE choice = 1
 """
 
 
@@ -98,7 +99,7 @@ def test_a_crash_while_staging_leaves_nothing(store, tmp_path, monkeypatch):
     monkeypatch.undo()
     assert store.staged("table", "a") is None
     assert stage_table(store, "a", path).status == "staged"
-    assert len(store.collect_garbage()) == 1  # the first attempt's folder
+    assert len(store.collect_garbage(0)) == 1  # the first attempt's folder
 
 
 def test_conflict_on_one_keeps_all(store, tmp_path):
@@ -163,26 +164,33 @@ def test_crash_at_commit_keeps_the_old_version(store, contour_files, monkeypatch
     assert rows(store.relation(dataset)) == [("Z2", 7, "c")]
 
 
-def test_bridge_tie_break_follows_priority(store, tmp_path):
-    dataset = load_manifest(
-        {"name": "paths_view", "components": [{"name": "flows", "kind": "fact", "primary_key": ["obs_id"]}, {"name": "bridge", "kind": "bridge", "primary_key": ["anchor", "code"], "priority": "priority"}, {"name": "paths", "kind": "dimension", "primary_key": ["region", "code", "path"]}], "view_sql": BRIDGE_SQL}
-    )
+def test_ranked_choices_of_a_bridge(store, tmp_path):
+    rng = random.Random(12)
+    towns, depots = [f"t{k}" for k in range(6)], [f"d{k}" for k in range(5)]
+    ranked = {t: rng.sample(depots, rng.randint(1, 5)) for t in towns}
+    stock = {(d, g): rng.randint(1, 99) for d in depots for g in ("ink", "nut")}
+    orders = [(k, rng.choice(towns), rng.choice(["ink", "nut"])) for k in range(30)]
+    parts = [
+        {"name": "orders", "kind": "fact", "primary_key": ["no"]},
+        {"name": "choices", "kind": "bridge", "primary_key": ["town", "depot"], "priority": "rank"},
+        {"name": "depots", "kind": "dimension", "primary_key": ["depot", "goods"]},
+    ]
+    dataset = load_manifest({"name": "served", "components": parts, "view_sql": DEPOT_SQL})
+    rows_of = {"town": [t for t in towns for _ in ranked[t]], "depot": [d for t in towns for d in ranked[t]], "rank": [k for t in towns for k in range(len(ranked[t]))]}
     sources = {
-        "flows": write(tmp_path, "flows", obs_id=[1, 2], region=["R", "R"], anchor=["A", "B"]),
-        "bridge": write(tmp_path, "bridge", anchor=["A", "A", "B"], code=["z", "a", "a"], priority=[1, 2, 1]),
-        "paths": write(tmp_path, "paths", region=["R"] * 3, code=["a", "z", "a"], path=["P", "P", "Q"], metric=[1.0, 2.0, 3.0]),
+        "orders": write(tmp_path, "orders", no=[o[0] for o in orders], town=[o[1] for o in orders], goods=[o[2] for o in orders]),
+        "choices": write(tmp_path, "choices", **rows_of),
+        "depots": write(tmp_path, "depots", depot=[d for d, _ in stock], goods=[g for _, g in stock], stock=list(stock.values())),
     }
     materialize(store, dataset, sources)
-    assert rows(store.relation(dataset)) == [(1, "P", 2.0), (1, "Q", 3.0), (2, "P", 1.0), (2, "Q", 3.0)]
-    sources["bridge"] = write(tmp_path, "bridge2", anchor=["A"], code=["z"])
-    with pytest.raises(ComponentColumnsError, match="priority"):
-        stage(store, dataset, sources)
-    sources["bridge"] = write(tmp_path, "bridge3", anchor=["A", "A"], code=["z", "z"], priority=[1, 2])
-    with pytest.raises(ComponentKeyError, match="duplicate"):
-        stage(store, dataset, sources)
-    sources["bridge"] = write(tmp_path, "bridge4", anchor=["A", None], code=["z", "z"], priority=[1, 2])
-    with pytest.raises(ComponentKeyError, match="NULL"):
-        stage(store, dataset, sources)
+    assert rows(store.relation(dataset)) == [(no, ranked[t][0], stock[ranked[t][0], g]) for no, t, g in orders]
+    for name, columns, error, fault in (
+        ("unranked", {"town": ["t0"], "depot": ["d0"]}, ComponentColumnsError, "rank"),
+        ("repeated", {"town": ["t0", "t0"], "depot": ["d1", "d1"], "rank": [3, 4]}, ComponentKeyError, "duplicate"),
+        ("unknown", {"town": [None, "t0"], "depot": ["d1", "d1"], "rank": [3, 4]}, ComponentKeyError, "NULL"),
+    ):
+        with pytest.raises(error, match=fault):
+            stage(store, dataset, sources | {"choices": write(tmp_path, name, **columns)})
 
 
 def test_changed_component_restages_itself_only(store, star_files):
@@ -380,3 +388,46 @@ def test_lost_column_keeps_the_old_version(store, star_files):
     with pytest.raises(ComponentColumnsError):
         stage(store, dataset, str(star_files))
     assert store.relation("j").count() == 2
+
+
+def test_a_frame_is_known_by_its_rows(store, tmp_path):
+    """A path overwritten with other rows is loaded again; the same rows in another order are not."""
+    spark, path = store.spark, str(tmp_path / "grown")
+    spark.range(3).write.parquet(path)
+    assert publishing.publish_table(store, "grown", spark.read.parquet(path)).status == "staged"
+    spark.range(9).write.mode("overwrite").parquet(path)
+    assert publishing.publish_table(store, "grown", spark.read.parquet(path)).status == "staged"
+    assert store.read("grown").count() == 9
+    shuffled = spark.range(9).repartition(3).orderBy("id", ascending=False)
+    assert publishing.publish_table(store, "grown", shuffled).status == "current"
+    assert publishing.publish_table(store, "grown", spark.range(9).selectExpr("IF(id = 4, NULL, id) AS id")).status == "staged"
+
+
+def test_publishing_leaves_running_jobs_and_readers_alone(store):
+    spark = store.spark
+    publishing.publish_table(store, "one", spark.range(5))
+    reader = store.read("one")
+    in_flight = store.new_location("public", "two")
+    spark.range(7).write.parquet(in_flight)  # staged by another job, whose marker is still to come
+    publishing.publish_table(store, "one", spark.range(6))
+    publishing.publish_table(store, "one", spark.range(8))
+    assert reader.count() == 5 and spark.read.parquet(in_flight).count() == 7
+    assert store.collect_garbage(3600) == [] and len(store.collect_garbage(0)) == 3
+    assert store.read("one").count() == 8
+
+
+def test_a_stream_writes_each_batch_once(store, tmp_path):
+    spark, folder = store.spark, tmp_path / "feed"
+    folder.mkdir()
+    write(folder, "a", k=[1, 2], s=["x", None])
+    feed = lambda: publish_stream(store, "fed", str(folder), "k long, s string", str(tmp_path / "check")).awaitTermination()
+    feed()
+    first = store.find("fed")
+    write(folder, "b", k=[3], s=["y"])
+    feed()
+    feed()
+    second = store.find("fed")
+    assert second["earlier"] == [first["location"]] and second["rows"] == 3
+    assert sorted(r["k"] for r in store.read("fed").collect()) == [1, 2, 3]
+    assert store.marker("fed")["null_counts"] == {"k": 0, "s": 1}
+    assert store.collect_garbage(0) == [] and spark.read.parquet(*store.locations(second)).count() == 3
