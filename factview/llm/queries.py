@@ -138,12 +138,58 @@ OP2_SQL = f"""
 """
 
 
+def _js_sql(x: str, y: str, n: int) -> str:
+    """The rounded Jensen-Shannon distance of two lists of n counts."""
+    p, q = (f"({c}[i] / list_sum({c})::DOUBLE)" for c in (x, y))
+    part = lambda a: f"CASE WHEN {a} > 0 THEN {a} * log2({a} / (({p} + {q}) / 2)) ELSE 0 END"
+    total = f"list_sum(list_transform(range(1, {n + 1}), lambda i: {part(p)} + {part(q)}))"
+    return f"CASE WHEN n >= {quality_rules.MIN_WORDS} AND list_sum({x}) > 0 AND list_sum({y}) > 0 THEN round(sqrt(greatest({total} / 2, 0)), 9) ELSE 0 END"
+
+
+def op10_sql() -> str:
+    rules, listed = quality_rules, quality_rules.COMMON_WORDS
+    quoted = lambda some: ", ".join("'" + x + "'" for x in some)
+    classes = {k: v.replace("'", "''") for k, v in rules.CHARACTER_CLASSES.items()}
+    columns = ", ".join(f"len(regexp_replace(t, '[^{v}]', '', 'g')) AS c_{k}" for k, v in classes.items())
+    named = " ".join(f"WHEN '{k}' THEN list_transform([{quoted(v)}], lambda x: len(list_filter(w, lambda y: lower(y) = x)))" for k, v in listed.items())
+    n_classes, n_words = len(classes) + 2, max(map(len, listed.values())) + 1
+    near = lambda c, limit: f"{c} <= {limit[0]} + {limit[1]} / sqrt(greatest(n, 1))"
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t, CASE WHEN lang IN ({quoted(listed)}) THEN lang ELSE 'other' END AS l, {WORDS_SQL.format("coalesce(text, '')")} AS w FROM documents),
+    c AS (
+        SELECT *, len(w) AS n, len(array_to_string(w, '')) AS wc, {columns}, CASE l {named} END AS named,
+            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        FROM d
+    ),
+    h AS (
+        SELECT id, doc_id, l, n, wc, c_symbol, len(lines) - len(list_distinct(lines)) AS dup,
+            [len(t) - wc, {", ".join(f"c_{k}" for k in classes)}, wc - {" - ".join(f"c_{k}" for k in classes)}] AS cls, list_concat(named, [n - list_sum(named)]) AS com
+        FROM c
+    ),
+    win AS (SELECT id, unnest(list_transform(range(1, n - {rules.WINDOW} + 2), lambda i: array_to_string(w[i:i + {rules.WINDOW - 1}], ' '))) AS x, unnest(range(1, n - {rules.WINDOW} + 2)) AS i FROM c),
+    again AS (SELECT id, i, count(*) OVER (PARTITION BY id, x) AS k FROM win),
+    cover AS (SELECT id, count(DISTINCT spot) AS repeated FROM (SELECT id, unnest(range(i, i + {rules.WINDOW})) AS spot FROM again WHERE k > 1) GROUP BY id),
+    rc AS (SELECT l, list(s ORDER BY i) AS rcls FROM (SELECT l, i, sum(cls[i]) AS s FROM h, range(1, {n_classes + 1}) x(i) WHERE n >= {rules.MIN_WORDS} GROUP BY l, i) GROUP BY l),
+    rw AS (SELECT l, list(s ORDER BY i) AS rcom FROM (SELECT l, i, sum(com[i]) AS s FROM h, range(1, {n_words + 1}) x(i) WHERE n >= {rules.MIN_WORDS} AND com IS NOT NULL GROUP BY l, i) GROUP BY l),
+    j AS (
+        SELECT doc_id, n, wc, c_symbol, dup, coalesce(repeated, 0) AS repeated, {_js_sql("cls", "rcls", n_classes)} AS jc, {_js_sql("com", "rcom", n_words)} AS jw,
+            n < {rules.MIN_RULE_WORDS} OR 100 * coalesce(repeated, 0) > {rules.MAX_REPEAT_PERCENT} * n AS failed
+        FROM h LEFT JOIN rc USING (l) LEFT JOIN rw USING (l) LEFT JOIN cover USING (id)
+    )
+    SELECT doc_id, n AS n_words, CAST(wc AS BIGINT) AS word_chars, CAST(c_symbol AS BIGINT) AS n_symbols, CAST(dup AS BIGINT) AS n_dup_lines, CAST(repeated AS BIGINT) AS n_repeat_words,
+        CAST(jc AS DOUBLE) AS js_characters, CAST(jw AS DOUBLE) AS js_words, failed AS base_failed,
+        NOT failed AND {near("jc", rules.MAX_CHARACTER_DISTANCE)} AND {near("jw", rules.MAX_WORD_DISTANCE)} AS kept
+    FROM j
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     names = [f"shard-{k:05d}" for k in range(sharding.SHARDS)]
     owner = ", ".join(map(str, sharding.lookup_table(names)))
     return {
         "op1_decontamination": OP1_SQL,
         "op2_ngram_join": OP2_SQL,
+        "op10_quality_rules": op10_sql(),
         "op5_sharding": f"""
             WITH s AS (
                 SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {sharding.TABLE_SIZE} AS shard_slot
