@@ -137,3 +137,32 @@ def test_pairs_teach_the_order():
     score = ranking.score(rows)
     assert (score[good][:, None] > score[~good][None, :]).mean() > 0.97
     assert abs((score < quality_rank.PARTING).mean() - (~good).mean()) < 0.02
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    """Rows labelled bad only where a sample of 20,000 by the digest of doc_id would not reach."""
+    ids = spark.range(28_000).selectExpr("id AS doc_id", "row_number() OVER (ORDER BY xxhash64(id)) AS place", "crc32(string(id)) % 4 = 2 AS held")
+    learned = ids.where("NOT held").selectExpr("doc_id", "held", "row_number() OVER (ORDER BY place) > 20000 AS bad")
+    docs = learned.selectExpr("doc_id", "concat(IF(bad, 'WORDS OF UPPER CASE ', 'words of lower case '), doc_id) AS text").repartition(5).cache()
+    labels = learned.selectExpr("doc_id", "IF(bad, 0, 1) AS quality")
+    assert 500 < learned.where("bad").count() < 2000
+    wrong = quality_rank.scored(docs, quality_rank.train(docs, labels)).where("predicted = CAST(text LIKE 'WORDS%' AS INT)")
+    assert wrong.count() == 0
+    docs.unpersist()
+
+
+def test_all_pairs_count():
+    """The gradient over every pair vanishes at the weights."""
+    rng = np.random.default_rng(1)
+    rows = rng.random((300, len(quality_rank.features(""))))
+    good = rows[:, 1] + 0.3 * rng.standard_normal(300) < 0.7
+    ranking = quality_rank.fit(rows, good)
+    x = ranking.standard(rows)
+    gap = x[good][:, None, :] - x[~good][None, :, :]
+    doubt = 1 / (1 + np.exp(gap @ ranking.weights))
+    gradient = (gap * doubt[:, :, None]).mean(axis=(0, 1)) - 1e-3 * ranking.weights
+    assert np.abs(gradient).max() < 1e-3
+    # In two parts the sums are the same.
+    parts = [(rows[:130], good[:130]), (rows[130:], good[130:])]
+    again = quality_rank.learned(lambda size, tally: sum(tally(*p) for p in parts))
+    assert np.allclose(again.weights, ranking.weights, atol=1e-6) and abs(again.parting - ranking.parting) < 1e-5
